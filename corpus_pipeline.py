@@ -4,22 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import common, packing, radix_dedup, secret_scan
+from corvane.llm import common, jaccard_join, language_id, packing, radix_dedup, secret_scan
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language stay; texts without a letter and undecided ones go."""
+    return language_id.known_language(spark, docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts stays."""
     return radix_dedup.dedup(spark, docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones stays."""
+    return jaccard_join.first_of_each(spark, docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; secrets in them are replaced."""
     return secret_scan.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of a packed sequence."""
     return packing.pack(spark, docs)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("secrets", secrets), ("packing", pack)]
+STAGES = [
+    ("language_id", known_language),
+    ("exact_dedup", exact_dedup),
+    ("jaccard_join", near_dedup),
+    ("secret_scan", secrets),
+    ("packing", pack),
+]
 
 #: Tokens, language models and links have no SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
