@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -59,9 +60,27 @@ def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let executors import this package wherever the driver found it; once for each Spark context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_corvane_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="corvane-"), "corvane_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._corvane_shipped = True
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with short batches."""
     bounded_batches(df.sparkSession)
+    ship_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
