@@ -7,8 +7,9 @@ decides equality. The number of rounds is the logarithm of the longest text that
 from the second round on only documents that share all bytes so far are read.
 
 A round is an aggregate over (group, chunk), combined before the shuffle, so a hot group costs a row per task;
-the groups of two and more are written out, and joined back to the documents. Both sides of that join are
-plain shuffles, which adaptive execution splits if a group is hot, or broadcasts if Spark finds it small.
+the groups of two and more are written out, and joined back to the documents. That is a sort-merge join at every
+size, so the plan doesn't change with the number of groups; both its sides are plain shuffles, which adaptive
+execution splits if a group is hot.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def radix_groups(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id"
     at, width = 0, FIRST_WIDTH
     shared = rows.select(chunk(0, width).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     groups, _ = common.stored(spark, shared.select("k", F.monotonically_increasing_id().alias("gid")), "radix-groups")
-    joined = rows.withColumn("k", chunk(0, width)).join(groups, "k", "left")
+    joined = rows.withColumn("k", chunk(0, width)).join(groups.hint("merge"), "k", "left")
     done_text = F.col("text") if keep_text else F.lit(None).cast("string")
     first = joined.select(
         "doc_id", "payload", "gid", F.when(F.col("gid").isNull(), done_text).otherwise(F.col("text")).alias("text"),
@@ -58,7 +59,7 @@ def radix_groups(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id"
         k, ended = chunk(at, width), F.length(F.col("k")) < width
         found = active.select("gid", k.alias("k"), "doc_id", "uid").groupBy("gid", "k").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("doc_id", "uid")).alias("top")).filter("n > 1")
         groups, _ = common.stored(spark, found.select("gid", "k", "n", "top", F.monotonically_increasing_id().alias("next")), "radix-groups")
-        split = active.withColumn("k", k).join(groups, ["gid", "k"], "left")
+        split = active.withColumn("k", k).join(groups.hint("merge"), ["gid", "k"], "left")
         single = F.col("next").isNull()
         over = single | ended
         out = split.select(
