@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -45,6 +46,12 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, st
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of jobs whose results are stored: it does so when its driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, *paths: str) -> None:
     """Delete scratch paths through Hadoop's file system, whatever store they are in."""
     for path in paths:

@@ -2,8 +2,8 @@
 
 A set's shingles are put in one global order, rare ones first. Two sets of n and m shingles that are similar enough
 share a shingle among the first ``n - ceil(t n) + 1`` of the one and the like of the other, so only these prefixes are
-joined. Length and positional filters drop pairs that cannot have the overlap; a suffix filter bounds the
-overlap over value ranges before the sets are merged; each pair is verified once.
+joined. Length and positional filters drop pairs that cannot have the overlap. A suffix filter then bounds a pair's
+overlap by the counts of both sets in 64 ranges of values, before any set is fetched; each pair is verified once.
 
 Rarity comes from a table of ``2^bits`` counters over all shingles of all documents (fixed size, so it can be
 broadcast); any order would give the same links, a rarer prefix gives fewer candidates. Shingles are compared as 64-bit hashes.
@@ -11,8 +11,8 @@ broadcast); any order would give the same links, a rarer prefix gives fewer cand
 Equal sets are one node. Nodes are linked without listing all pairs of a group of near copies:
 
 1. each node is compared with the least node (by set size, then id) that shares a prefix shingle with it;
-2. in each shingle's list that still spans several components, each node is compared with its next 8 neighbours
-   (by a hash of the id) that are in another component;
+2. each shingle's list that still spans several components is dealt by a hash of the id into buckets of about 8, and
+   nodes of a bucket that are in different components are compared;
 3. in the longer lists that still span several, the nodes outside the largest component are compared with all
    nodes of other components.
 
@@ -22,18 +22,23 @@ has joined: no pair is dropped, and none is tested whose ends are connected alre
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
 _U = np.uint64
-_NEIGHBOURS = 8
+_BUCKET = 8
+_RANGES = 64
+#: Ids that are broadcast at most (8 bytes each) to fetch their sets; more are joined by a shuffle.
+_BROADCAST_IDS = 1_000_000
+_SLOTS = 4096
 
 # odd multipliers for positions in a word and words in a shingle, and a value for each byte: any fixed random numbers do
 _rng = np.random.Generator(np.random.PCG64(20240229))
@@ -98,37 +103,51 @@ def _least(n: int | np.ndarray, percent: int) -> int | np.ndarray:
     return (n * percent + 99) // 100
 
 
-def _count_rows(width: int, bits: int):
+def _count_blocks(width: int, bits: int):
+    """Counters of a partition, in blocks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts = Shingler(width), np.zeros(1 << bits, dtype=np.int64)
         for batch in batches:
             hashes = [shingler.shingles(t) for t in common.texts_of(batch.column(0))]
             if hashes:
                 counts += np.bincount((np.concatenate(hashes) >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
-        at = np.flatnonzero(counts)
-        for i in range(0, len(at), 1 << 16):
-            part = at[i : i + (1 << 16)]
-            yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(counts[part])], ["slot", "n"])
+        yield from _as_blocks({i: counts[at : at + _SLOTS] for i, at in enumerate(range(0, len(counts), _SLOTS))})
 
     return run
 
 
+def _as_blocks(blocks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    packed = [zlib.compress(b.astype("<i8").tobytes(), 1) for b in blocks.values()]
+    yield pa.record_batch([pa.array(blocks.keys(), pa.int32()), pa.array(packed, pa.binary())], ["block", "counts"])
+
+
+def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    blocks: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            counts = np.frombuffer(zlib.decompress(packed), dtype="<i8")
+            blocks[i] = blocks[i] + counts if i in blocks else counts
+    yield from _as_blocks(blocks)
+
+
 def _prefix_rows(width: int, bits: int, percent: int, rarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts = Shingler(width), np.frombuffer(rarity.value, dtype=np.int64)
+        shingler, counts = Shingler(width), np.frombuffer(rarity.value, dtype="<i4")
         for batch in batches:
-            sizes, keys, grams = [], [], []
+            sizes, keys, grams, ranges = [], [], [], []
             for text in common.texts_of(batch.column(1)):
                 h = shingler.shingles(text)
                 n = len(h)
                 sizes.append(n)
                 keys.append(xxhash.xxh3_128_digest(h.tobytes()))
+                ranges.append(np.bincount((h >> _U(58)).astype(np.int64), minlength=_RANGES).astype("<u4").tobytes())
                 p = n - _least(n, percent) + 1 if n else 0
                 freq = counts[(h >> _U(64 - bits)).astype(np.int64)]
                 if p < n:  # the p least by (frequency, hash); the hashes are sorted, so a stable choice
                     h = h[np.argsort(freq, kind="stable")[:p]]
                 grams.append(h.view(np.int64))
-            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary()), pa.array(grams, pa.list_(pa.int64()))], ["doc_id", "n", "sid", "grams"])
+            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary()), pa.array(grams, pa.list_(pa.int64())), pa.array(ranges, pa.binary())], ["doc_id", "n", "sid", "grams", "ranges"])
 
     return run
 
@@ -149,16 +168,25 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if 100 * min(n, m) < percent * max(n, m):
         return False
     need = -(-percent * (n + m) // (100 + percent))
-    if n + m > 64:  # suffix filter: in each range of values the overlap is at most the smaller count
-        cuts = np.arange(1, 32, dtype=np.uint64) << _U(59)
-        bound = np.minimum(np.diff(np.searchsorted(a, cuts), prepend=0, append=n), np.diff(np.searchsorted(b, cuts), prepend=0, append=m)).sum()
-        if bound < need:
-            return False
     both = np.concatenate([a, b])
     both.sort(kind="stable")
     return int((both[1:] == both[:-1]).sum()) >= need
 
 
+def _in_range(percent: int):
+    """Suffix filter: in each range of values the overlap is at most the smaller count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype="<u4").reshape(-1, _RANGES).astype(np.int64) for i in (2, 3))
+            bound, both = np.minimum(x, y).sum(axis=1), x.sum(axis=1) + y.sum(axis=1)
+            yield batch.select([0, 1]).filter(pa.array(bound * (100 + percent) >= percent * both))
+
+    return run
+
+
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,7 +227,7 @@ def _possible(n: Column, i: Column, m: Column, j: Column, percent: int) -> Colum
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (bound * (100 + percent) >= percent * (n + m))
 
 
-def link_components(spark: SparkSession, docs: DataFrame, *, percent: int = 85, width: int = 4, bits: int = 17, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def link_components(spark: SparkSession, docs: DataFrame, *, percent: int = 85, width: int = 4, bits: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id (least doc_id reachable by links, itself included).
 
     Two documents link when ``100 * intersection >= percent * union`` of their sets of ``width``-word shingles (words of a
@@ -207,31 +235,48 @@ def link_components(spark: SparkSession, docs: DataFrame, *, percent: int = 85,
     component, no link. Repeated rows: equal sets, one component. Empty table: no rows. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    counts = common.arrow_map(rows.select("text"), _count_rows(width, bits), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    rarity = np.zeros(1 << bits, dtype=np.int64)
-    got = counts.toArrow()  # 2^bits rows at most
-    rarity[got.column("slot").to_numpy()] = got.column("n").to_numpy()
-    table = spark.sparkContext.broadcast(rarity.tobytes())
-    prefixes, _ = common.stored(spark, common.arrow_map(rows, _prefix_rows(width, bits, percent, table), "doc_id long, n int, sid binary, grams array<long>"), "prefixes")
-
-    nodes = prefixes.filter("n > 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("rid"), F.first("n").alias("n"), F.first("grams").alias("grams"))
+    blocks = common.arrow_map(rows.select("text"), _count_blocks(width, bits), "block int, counts binary")
+    blocks = common.arrow_map(blocks.repartition(min(64, (1 << bits) // _SLOTS or 1), "block"), _sum_blocks, "block int, counts binary")
+    rarity = np.zeros(max(1 << bits, _SLOTS), dtype=np.int64)
+    for i, packed in zip(*[c.to_pylist() for c in blocks.toArrow().columns], strict=True):  # 2^bits counters
+        rarity[i * _SLOTS : i * _SLOTS + _SLOTS][: 1 << bits] = np.frombuffer(zlib.decompress(packed), dtype="<i8")
+    table = spark.sparkContext.broadcast(np.minimum(rarity, 2**31 - 1).astype("<i4").tobytes())
+    prefixes, prefixes_path = common.stored(spark, common.arrow_map(rows, _prefix_rows(width, bits, percent, table), "doc_id long, n int, sid binary, grams array<long>, ranges binary"), "prefixes")
+
+    nodes = prefixes.filter("n > 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("rid"), F.first("n").alias("n"), F.first("grams").alias("grams"), F.first("ranges").alias("ranges"))
     nodes, _ = common.stored(spark, nodes, "nodes")
+    members, _ = common.stored(spark, prefixes.select("doc_id", "n", "sid"), "members")
+    common.remove(spark, prefixes_path)
+    common.release(spark)
+    ranges, _ = common.stored(spark, nodes.select("rid", "ranges"), "ranges")
+    lists, lists_path = common.stored(spark, nodes.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "lists")
+    common.release(spark)
     postings = nodes.select("rid", "n", F.posexplode("grams").alias("pos", "gram"))
-    lists = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("n", "rid", "pos")).alias("first")).filter("size > 1")
-    lists, lists_path = common.stored(spark, lists, "lists")
-    shared, shared_path = common.stored(spark, postings.join(lists, "gram"), "shared")
-
-    # the sets of the nodes that share any prefix shingle
-    wanted, wanted_path = common.stored(spark, shared.select(F.col("rid").alias("doc_id")).distinct(), "wanted")
-    sets = common.arrow_map(rows.join(wanted, "doc_id"), _set_rows(width), "rid long, items binary")
-    sets, _ = common.stored(spark, sets, "sets")
-    common.remove(spark, lists_path, wanted_path)
+    shared, shared_path = common.stored(spark, postings.join(lists.hint("merge"), "gram"), "shared")
+    common.remove(spark, lists_path)
+    common.release(spark)
+
+    def plausible(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs (u, v) that pass the suffix filter, stored."""
+        one = ranges.select(F.col("rid").alias("u"), F.col("ranges").alias("x"))
+        two = ranges.select(F.col("rid").alias("v"), F.col("ranges").alias("y"))
+        out, _ = common.stored(spark, common.arrow_map(pairs.join(one, "u").join(two, "v").select("u", "v", "x", "y"), _in_range(percent), "u long, v long"), name)
+        common.release(spark)
+        return out
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """The pairs (u, v) that link."""
+        """The pairs (u, v) that link, stored; sets are made for the nodes of these pairs only."""
+        ends = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+        wanted, wanted_path = common.stored(spark, ends, "wanted")
+        few = wanted.count() <= _BROADCAST_IDS
+        sets = common.arrow_map(rows.join(F.broadcast(wanted) if few else wanted.hint("merge"), "doc_id"), _set_rows(width), "rid long, items binary")
+        sets, sets_path = common.stored(spark, sets, "sets")
         one = sets.select(F.col("rid").alias("u"), F.col("items").alias("x"))
         two = sets.select(F.col("rid").alias("v"), F.col("items").alias("y"))
-        return common.arrow_map(pairs.join(one, "u").join(two, "v").select("u", "v", "x", "y"), _verified(percent), "u long, v long")
+        out, _ = common.stored(spark, common.arrow_map(pairs.join(one, "u").join(two, "v").select("u", "v", "x", "y"), _verified(percent), "u long, v long"), "links")
+        common.remove(spark, wanted_path, sets_path)
+        common.release(spark)
+        return out
 
     def with_labels(lists: DataFrame, labels: DataFrame) -> DataFrame:
         return lists.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
@@ -241,47 +286,48 @@ def link_components(spark: SparkSession, docs: DataFrame, *, percent: int = 85,
         spans, _ = common.stored(spark, spans.select("gram"), "open")
         return spans
 
+    def joined(labels: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The components with the links among these pairs."""
+        return connected(spark, verify(pairs).unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v"))))
+
     # 1. the least node that shares a shingle
+    least, _ = common.stored(spark, shared.groupBy("gram").agg(F.min(F.struct("n", "rid", "pos")).alias("first")), "least")
     first = F.col("first")
-    star = shared.filter(F.col("rid") != first["rid"]).filter(_possible(F.col("n"), F.col("pos"), first["n"], first["pos"], percent))
+    star = shared.join(least, "gram").filter(F.col("rid") != first["rid"]).filter(_possible(F.col("n"), F.col("pos"), first["n"], first["pos"], percent))
     star = star.groupBy(F.col("rid").alias("u")).agg(F.min(F.struct(first["n"].alias("n"), first["rid"].alias("v"))).alias("p")).select("u", F.col("p.v").alias("v"))
-    links, _ = common.stored(spark, verify(star), "links")
-    labels = connected(spark, links)
-
-    # 2. neighbours in other components
-    labelled, labelled_path = common.stored(spark, with_labels(shared.select("gram", "rid", "n", "pos", "size"), labels), "labelled")
-    open_lists = labelled.join(still_open(labelled), "gram")
-    order = Window.partitionBy("gram").orderBy(F.xxhash64("rid"), "rid", "n", "pos")
-    me = F.struct("rid", "n", "pos", "label")
-    ranked = open_lists.withColumn("rank", F.row_number().over(order))
-    near = open_lists.withColumn("next", F.array(*[F.lead(me, k).over(order) for k in range(1, _NEIGHBOURS + 1)]))
-    near = near.select("rid", "n", "pos", "label", F.explode("next").alias("o")).filter("o is not null and o.label <> label")
-    near = near.filter(_possible(F.col("n"), F.col("pos"), F.col("o.n"), F.col("o.pos"), percent))
-    pair = lambda a, b: (F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    pairs, pairs_path = common.stored(spark, near.select(*pair(F.col("rid"), F.col("o.rid"))).filter("u <> v").distinct(), "pairs")
+    labels = connected(spark, verify(plausible(star, "pairs")))
+
+    # 2. nodes of other components in small buckets
+    open_lists = with_labels(shared, labels)
+    open_lists = open_lists.join(still_open(open_lists), "gram").withColumn("bucket", F.pmod(F.xxhash64("rid"), F.ceil(F.col("size") / _BUCKET)))
+    open_lists, open_path = common.stored(spark, open_lists.select("gram", "rid", "n", "pos", "size", "bucket", "label"), "open-lists")
+    common.remove(spark, shared_path)
+    common.release(spark)
+    pair = (F.greatest("a.rid", "b.rid").alias("u"), F.least("a.rid", "b.rid").alias("v"))
+    fits = _possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), percent)
+    a, b = open_lists.alias("a"), open_lists.alias("b")
+    near = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.rid") < F.col("b.rid")) & (F.col("a.label") != F.col("b.label")) & fits)
+    pairs = plausible(near.select(*pair).distinct(), "pairs")
     if pairs.limit(1).count():
-        more, _ = common.stored(spark, verify(pairs), "links")
-        labels = connected(spark, more.unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v"))))
-    common.remove(spark, pairs_path, shared_path)
+        labels = joined(labels, pairs)
 
     # 3. longer lists that still span several components
-    longer, longer_path = common.stored(spark, with_labels(ranked.filter(F.col("size") > _NEIGHBOURS + 1).drop("label"), labels), "longer")
-    common.remove(spark, labelled_path)
+    longer, longer_path = common.stored(spark, with_labels(open_lists.filter(F.col("size") > _BUCKET).drop("label"), labels), "longer")
+    common.remove(spark, open_path)
     left = still_open(longer)
     if left.limit(1).count():
         rest, _ = common.stored(spark, longer.join(left, "gram"), "rest")
         by_label = rest.groupBy("gram", "label").agg(F.count(F.lit(1)).alias("c"))
         largest, _ = common.stored(spark, by_label.groupBy("gram").agg(F.max(F.struct("c", "label")).alias("top")).select("gram", F.col("top.label").alias("top")), "largest")
         marked, _ = common.stored(spark, rest.join(largest, "gram").withColumn("major", F.col("label") == F.col("top")).drop("top", "size"), "marked")
-        minor, all_ = marked.filter("not major").alias("a"), marked.alias("b")
-        apart = (F.col("a.label") != F.col("b.label")) & (F.col("b.major") | (F.col("a.rank") < F.col("b.rank"))) & (F.abs(F.col("a.rank") - F.col("b.rank")) > _NEIGHBOURS)
-        cross = minor.join(all_, (F.col("a.gram") == F.col("b.gram")) & apart & _possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), percent))
-        pairs, _ = common.stored(spark, cross.select(*pair(F.col("a.rid"), F.col("b.rid"))).filter("u <> v").distinct(), "pairs")
-        more, _ = common.stored(spark, verify(pairs), "links")
-        labels = connected(spark, more.unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v"))))
+        apart = (F.col("a.label") != F.col("b.label")) & (F.col("b.major") | (F.col("a.rid") < F.col("b.rid"))) & (F.col("a.bucket") != F.col("b.bucket"))
+        cross = marked.filter("not major").alias("a").join(marked.alias("b"), (F.col("a.gram") == F.col("b.gram")) & apart & fits)
+        pairs = plausible(cross.select(*pair).distinct(), "pairs")
+        if pairs.limit(1).count():
+            labels = joined(labels, pairs)
     common.remove(spark, longer_path)
 
-    members = prefixes.select("doc_id", "n", "sid").join(nodes.select("sid", "rid"), "sid", "left")
+    members = members.join(nodes.select("sid", "rid"), "sid", "left")
     members = members.join(labels.withColumnRenamed("node", "rid"), "rid", "left")
     own = F.when(F.col("n") > 0, F.coalesce("label", "rid")).otherwise(F.col("doc_id"))
     return members.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
