@@ -249,4 +249,4 @@ def known_language(spark: SparkSession, docs: DataFrame, *, min_score: float = 0
     """The documents whose language is one of those learned, with all their columns; ``und`` and scores under ``min_score`` go."""
     name, score = common.hidden(docs, "lang_pred", "lang_score")
     found = predict(spark, docs, train(spark, docs, **options), into=(name, score))
-    return found.filter((F.col(name) != UNKNOWN) & (F.col(score) >= min_score)).select(*docs.columns)
+    return found.filter((F.col(name) != UNKNOWN) & (F.col(score) >= min_score)).select(*[f"`{c}`" for c in docs.columns])

@@ -30,7 +30,7 @@ def radix_groups(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id"
     Columns that aren't named in ``payload`` are ignored; those named keep clear of the results inside their struct.
     """
     raw = F.col(text_col).cast("string")
-    extra = F.struct(*[F.col(c) for c in payload]) if payload else F.lit(None).cast("struct<none:int>")
+    extra = F.struct(*[F.col(f"`{c}`") for c in payload]) if payload else F.lit(None).cast("struct<none:int>")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), raw.alias("text"), extra.alias("payload"))
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     sha = F.sha2(body, 256)

@@ -71,12 +71,12 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     body, parts, words, lines = common.hidden(docs, "body", "parts", "words", "lines")
     df = docs.withColumn(body, F.coalesce(F.col(text).cast("string"), F.lit("")))
     others = [c for c in docs.columns if c.lower() not in names]
-    df = df.select(*[F.col(c) for c in others], body, F.split(body, r"[ \t-\r]", -1).alias(parts))
+    df = df.select(*[F.col(f"`{c}`") for c in others], body, F.split(body, r"[ \t-\r]", -1).alias(parts))
     df = df.withColumn(words, F.array_remove(F.col(parts), ""))
     df = df.withColumn(lines, F.filter(F.split(body, "\n", -1), lambda x: x.rlike(r"[^ \t-\r]")))
     long = lambda c, name: c.cast("long").alias(name)
     return df.select(
-        *[F.col(c) for c in others],
+        *[F.col(f"`{c}`") for c in others],
         long(F.size(words), "n_words"),
         long(F.length(body) - (F.size(parts) - 1), "word_chars"),
         long(F.regexp_count(F.col(body), F.lit(r"[#*$%&|<>]")), "n_symbols"),
@@ -89,7 +89,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """Measurements and ``fail_bits`` of each document; the other columns stay, but for those with these names."""
-    df = measure(docs.select(*[c for c in docs.columns if c.lower() != "fail_bits"]), text)
+    df = measure(docs.select(*[f"`{c}`" for c in docs.columns if c.lower() != "fail_bits"]), text)
     bits = F.lit(0).cast("long")
     for i, rule in enumerate(RULES):
         bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))

@@ -142,7 +142,7 @@ def redact(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
 
     cut = F.aggregate(F.col(spans), start, step, lambda acc: F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), F.length(body))))
     found = found.withColumn(t, F.when(F.size(spans) == 0, body).otherwise(cut))
-    return found.select(*[F.col(t).cast(docs.schema[c].dataType).alias(c) if c == text else F.col(c) for c in docs.columns])
+    return found.select(*[F.col(t).cast(docs.schema[c].dataType).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
 def digest(spans: list[tuple[int, int, int]]) -> tuple[int, int, int, str, str]:
