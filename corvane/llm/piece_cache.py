@@ -19,6 +19,15 @@ _DROPPING = re.compile(r"[^ \t-\r]+")
 _ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁠　﻿]")
 #: Punctuation that ends a token after a letter or digit in either tokenizer (no apostrophe, nothing of an added token).
 _TAIL = ".,;:!?)]}\"*#$%&"
+#: A space or none and letters of Latin-1 and Latin Extended, all precomposed, without the one whose lower case has two characters.
+_PLAIN = re.compile("( ?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
 class _Memo(dict):
@@ -26,9 +35,13 @@ class _Memo(dict):
 
     def __init__(self, tokenizer, limit: int):
         super().__init__()
-        self.tokenizer, self.limit = tokenizer, limit
+        self.tokenizer, self.model, self.limit = tokenizer, tokenizer.model, limit
+        self.plain_word = None  # how the model writes a word of Latin letters, if words are known to be one token of the pattern
 
     def encode(self, piece: str) -> bytes:
+        if self.plain_word is not None and (m := _PLAIN.fullmatch(piece)):
+            # one word that the normalizer and pattern leave whole: straight to the model, which costs a third
+            return array("I", [t.id for t in self.model.tokenize(self.plain_word(m[1], m[2]))]).tobytes()
         return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
@@ -63,8 +76,12 @@ class PieceEncoder:
         steps = [x["type"] for x in (normalizer or {}).get("normalizers", [])]
         if plain and normalizer is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
             self._split = lambda text: [text] if _ODD.search(text) else _KEEPING.findall(text)
+            letters = dict(enumerate(_byte_letters()))
+            self._memo.plain_word = lambda space, word: (space + word).encode("utf-8").decode("latin-1").translate(letters)
         elif plain and steps == ["NFC", "Replace", "Lowercase"] and pre.get("type") == "Sequence" and pre["pretokenizers"][0]["type"] == "Split" and pre["pretokenizers"][0]["invert"]:
             self._split = _DROPPING.findall
+            letters = dict(enumerate(_byte_letters()))
+            self._memo.plain_word = lambda space, word: word.lower().encode("utf-8").decode("latin-1").translate(letters)
         else:
             self._split = lambda text: [text]
 
