@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import InvalidArgument, SchemaError, Unsupported
+from ..operators.fusion import reciprocal_rank_fusion, sum_fusion
 from ..plans import builder as b
 from ..plans.ir import DenseVector, Query
-from ..plans.lower import Lowering, Source, literal_column
+from ..plans.lower import Lowering, Source
 from ..sources import codec
 from ..sources.store import Collection
 from .compile import TRUE, Clause, Compiler, all_of, field_name
@@ -116,20 +117,9 @@ class Search:
     def fused(self) -> DataFrame:
         """Rows of all retrievers by id with one score."""
         parts = self.retrievers()
-        if self.rrf is None:
-            if len(parts) == 1:
-                return parts[0]
-            ranks = [p.select("_id", "_score") for p in parts]
-        else:
-            constant, window = self.rrf
-            # a retriever's best rows are few, so ranking them in one window is bounded by the window size
-            top = [p.select("_id", "_score").orderBy(F.desc("_score"), "_id").limit(window) for p in parts]
-            order = Window.orderBy(F.desc("_score"), "_id")
-            ranks = [t.select("_id", (F.lit(1.0) / (F.lit(float(constant)) + F.row_number().over(order))).alias("_score")) for t in top]
-        both = ranks[0]
-        for r in ranks[1:]:
-            both = both.unionByName(r)
-        scores = both.groupBy("_id").agg(F.sum("_score").alias("_score"))
+        if self.rrf is None and len(parts) == 1:
+            return parts[0]
+        scores = sum_fusion(parts) if self.rrf is None else reciprocal_rank_fusion(parts, *self.rrf)
         return self.source.df.join(scores, "_id")
 
     # sorting
@@ -368,6 +358,3 @@ def bulk(collection: Collection, lines: Iterable[Mapping[str, Any]]) -> dict[str
             items.append({kind: {"_id": doc_id, "error": {"reason": str(e)}, "status": 400}})
     return {"errors": any("error" in next(iter(i.values())) for i in items), "items": items}
 
-
-def literal_of(v: Any) -> Column:
-    return literal_column(v)

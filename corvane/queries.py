@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .engine import run_select
 from .es.search import Search
+from .operators.latest import newest
 from .plans import builder as b
 from .plans import schema as s
 from .plans.builder import agg, fn, match, match_tokens, should
@@ -315,16 +316,14 @@ def _registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
 
     # versioned writes: the newest row of each key, and deletion by filter
     def versions(spark: SparkSession, sf: str) -> DataFrame:
-        from .sources.store import Collection
-
         df = spark.read.parquet(f"{sf}/events.parquet").select(F.col("user_id").cast("string").alias("_id"), F.col("event_id").alias("_lsn"), "event_type", "value")
-        return Collection._newest(df)
+        return newest(df)
 
-    newest = "SELECT user_id, event_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events"
-    q["latest_upsert"] = (versions, f"SELECT user_id::VARCHAR AS _id, event_id AS _lsn, event_type, value FROM ({newest}) WHERE r = 1")
+    ranked = "SELECT user_id, event_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events"
+    q["latest_upsert"] = (versions, f"SELECT user_id::VARCHAR AS _id, event_id AS _lsn, event_type, value FROM ({ranked}) WHERE r = 1")
     q["delete_by_filter"] = (
         lambda spark, sf: versions(spark, sf).filter(~F.coalesce(F.col("event_type") == "error", F.lit(False))),
-        f"SELECT user_id::VARCHAR AS _id, event_id AS _lsn, event_type, value FROM ({newest}) WHERE r = 1 AND event_type <> 'error'",
+        f"SELECT user_id::VARCHAR AS _id, event_id AS _lsn, event_type, value FROM ({ranked}) WHERE r = 1 AND event_type <> 'error'",
     )
     return q
 

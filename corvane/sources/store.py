@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import AlreadyExists, InvalidArgument, NotFound
+from ..operators.latest import newest
 from ..plans.ir import Expr, Query
 from ..plans.lower import Lowering, Source, run_with_matched
 from ..plans.schema import FieldSpec, Index, Schema
@@ -128,19 +129,13 @@ class Collection:
         later = commits if start is None else commits[start + 1 :]
         later = [c for c in later if c["folder"]]
         if start is None:
-            newest = self._newest(self._read(later))
+            rows = newest(self._read(later))
         else:
-            newest = self._read([commits[start]])
+            rows = self._read([commits[start]])
             if later:
-                delta = self._newest(self._read(later))
-                newest = newest.join(delta.select("_id"), "_id", "left_anti").unionByName(delta)
-        return newest.filter("not _deleted").drop("_lsn", "_deleted")
-
-    @staticmethod
-    def _newest(rows: DataFrame) -> DataFrame:
-        names = rows.columns
-        top = rows.groupBy("_id").agg(F.max_by(F.struct(*[f"`{n}`" for n in names if n != "_id"]), "_lsn").alias("__row"))
-        return top.select(*[F.col("_id") if n == "_id" else F.col("__row").getField(n).alias(n) for n in names])
+                delta = newest(self._read(later))
+                rows = rows.join(delta.select("_id"), "_id", "left_anti").unionByName(delta)
+        return rows.filter("not _deleted").drop("_lsn", "_deleted")
 
     # writes
 
