@@ -2,8 +2,9 @@
 
 A set's shingles are put in one global order, rare ones first. Two sets of n and m shingles that are similar enough
 share a shingle among the first ``n - ceil(t n) + 1`` of the one and the like of the other, so only these prefixes are
-joined. Length and positional filters drop pairs that cannot have the overlap. A suffix filter then bounds a pair's
-overlap by the counts of both sets in 64 ranges of values, before any set is fetched; each pair is verified once.
+joined. Length and positional filters drop pairs that cannot have the overlap. A suffix filter then bounds what two
+sets share from counts alone, before any set is fetched: the parities of their counts in 256 ranges of values (each
+that differs is a shingle that only one has), and the smaller counts in 64 ranges. Each pair is verified once.
 
 Rarity comes from a table of ``2^bits`` counters over all shingles of all documents (fixed size, so it can be
 broadcast); any order would give the same links, a rarer prefix gives fewer candidates. Shingles are compared as 64-bit hashes.
@@ -135,19 +136,21 @@ def _prefix_rows(width: int, bits: int, percent: int, rarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts = Shingler(width), np.frombuffer(rarity.value, dtype="<i4")
         for batch in batches:
-            sizes, keys, grams, ranges = [], [], [], []
+            sizes, keys, grams, ranges, parities = [], [], [], [], []
             for text in common.texts_of(batch.column(1)):
                 h = shingler.shingles(text)
                 n = len(h)
                 sizes.append(n)
                 keys.append(xxhash.xxh3_128_digest(h.tobytes()))
-                ranges.append(np.bincount((h >> _U(58)).astype(np.int64), minlength=_RANGES).astype("<u4").tobytes())
+                odd = np.bincount((h >> _U(56)).astype(np.int64), minlength=256) & 1
+                parities.append(np.packbits(odd.astype(np.uint8)).view("<i8"))
+                ranges.append(np.bincount((h >> _U(58)).astype(np.int64), minlength=_RANGES).astype(np.int32))
                 p = n - _least(n, percent) + 1 if n else 0
                 freq = counts[(h >> _U(64 - bits)).astype(np.int64)]
                 if p < n:  # the p least by (frequency, hash); the hashes are sorted, so a stable choice
                     h = h[np.argsort(freq, kind="stable")[:p]]
                 grams.append(h.view(np.int64))
-            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary()), pa.array(grams, pa.list_(pa.int64())), pa.array(ranges, pa.binary())], ["doc_id", "n", "sid", "grams", "ranges"])
+            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary()), pa.array(grams, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int32())), pa.array(parities, pa.list_(pa.int64()))], ["doc_id", "n", "sid", "grams", "ranges", "parity"])
 
     return run
 
@@ -180,7 +183,7 @@ def _in_range(percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype="<u4").reshape(-1, _RANGES).astype(np.int64) for i in (2, 3))
+            x, y = (batch.column(i).flatten().to_numpy().reshape(-1, _RANGES).astype(np.int64) for i in (2, 3))
             bound, both = np.minimum(x, y).sum(axis=1), x.sum(axis=1) + y.sum(axis=1)
             yield batch.select([0, 1]).filter(pa.array(bound * (100 + percent) >= percent * both))
 
@@ -241,14 +244,14 @@ def link_components(spark: SparkSession, docs: DataFrame, *, percent: int = 85,
     for i, packed in zip(*[c.to_pylist() for c in blocks.toArrow().columns], strict=True):  # 2^bits counters
         rarity[i * _SLOTS : i * _SLOTS + _SLOTS][: 1 << bits] = np.frombuffer(zlib.decompress(packed), dtype="<i8")
     table = spark.sparkContext.broadcast(np.minimum(rarity, 2**31 - 1).astype("<i4").tobytes())
-    prefixes, prefixes_path = common.stored(spark, common.arrow_map(rows, _prefix_rows(width, bits, percent, table), "doc_id long, n int, sid binary, grams array<long>, ranges binary"), "prefixes")
+    prefixes, prefixes_path = common.stored(spark, common.arrow_map(rows, _prefix_rows(width, bits, percent, table), "doc_id long, n int, sid binary, grams array<long>, ranges array<int>, parity array<long>"), "prefixes")
 
-    nodes = prefixes.filter("n > 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("rid"), F.first("n").alias("n"), F.first("grams").alias("grams"), F.first("ranges").alias("ranges"))
+    nodes = prefixes.filter("n > 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("rid"), F.first("n").alias("n"), F.first("grams").alias("grams"), F.first("ranges").alias("ranges"), F.first("parity").alias("parity"))
     nodes, _ = common.stored(spark, nodes, "nodes")
     members, _ = common.stored(spark, prefixes.select("doc_id", "n", "sid"), "members")
     common.remove(spark, prefixes_path)
     common.release(spark)
-    ranges, _ = common.stored(spark, nodes.select("rid", "ranges"), "ranges")
+    ranges, _ = common.stored(spark, nodes.select("rid", "ranges", "parity"), "ranges")
     lists, lists_path = common.stored(spark, nodes.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "lists")
     common.release(spark)
     postings = nodes.select("rid", "n", F.posexplode("grams").alias("pos", "gram"))
@@ -300,11 +303,15 @@ def link_components(spark: SparkSession, docs: DataFrame, *, percent: int = 85,
     # 2. nodes of other components in small buckets
     open_lists = with_labels(shared, labels)
     open_lists = open_lists.join(still_open(open_lists), "gram").withColumn("bucket", F.pmod(F.xxhash64("rid"), F.ceil(F.col("size") / _BUCKET)))
-    open_lists, open_path = common.stored(spark, open_lists.select("gram", "rid", "n", "pos", "size", "bucket", "label"), "open-lists")
+    open_lists = open_lists.join(ranges.select("rid", "parity"), "rid")
+    open_lists, open_path = common.stored(spark, open_lists.select("gram", "rid", "n", "pos", "size", "bucket", "label", "parity"), "open-lists")
     common.remove(spark, shared_path)
     common.release(spark)
     pair = (F.greatest("a.rid", "b.rid").alias("u"), F.least("a.rid", "b.rid").alias("v"))
+    # the filters are part of the joins' conditions, so a pair that fails them is never a row
+    differ = sum((F.bit_count(F.get("a.parity", F.lit(i)).bitwiseXOR(F.get("b.parity", F.lit(i)))) for i in range(1, 4)), F.bit_count(F.get("a.parity", F.lit(0)).bitwiseXOR(F.get("b.parity", F.lit(0)))))
     fits = _possible(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), percent)
+    fits = fits & (differ * (100 + percent) <= (F.col("a.n") + F.col("b.n")) * (100 - percent))
     a, b = open_lists.alias("a"), open_lists.alias("b")
     near = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.rid") < F.col("b.rid")) & (F.col("a.label") != F.col("b.label")) & fits)
     pairs = plausible(near.select(*pair).distinct(), "pairs")
@@ -316,13 +323,15 @@ def link_components(spark: SparkSession, docs: DataFrame, *, percent: int = 85,
     common.remove(spark, open_path)
     left = still_open(longer)
     if left.limit(1).count():
-        rest, _ = common.stored(spark, longer.join(left, "gram"), "rest")
+        rest, _ = common.stored(spark, longer.join(left, "gram").join(ranges.select("rid", "ranges"), "rid"), "rest")
         by_label = rest.groupBy("gram", "label").agg(F.count(F.lit(1)).alias("c"))
         largest, _ = common.stored(spark, by_label.groupBy("gram").agg(F.max(F.struct("c", "label")).alias("top")).select("gram", F.col("top.label").alias("top")), "largest")
         marked, _ = common.stored(spark, rest.join(largest, "gram").withColumn("major", F.col("label") == F.col("top")).drop("top", "size"), "marked")
         apart = (F.col("a.label") != F.col("b.label")) & (F.col("b.major") | (F.col("a.rid") < F.col("b.rid"))) & (F.col("a.bucket") != F.col("b.bucket"))
-        cross = marked.filter("not major").alias("a").join(marked.alias("b"), (F.col("a.gram") == F.col("b.gram")) & apart & fits)
-        pairs = plausible(cross.select(*pair).distinct(), "pairs")
+        common_ = F.aggregate(F.zip_with("a.ranges", "b.ranges", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
+        enough = common_.cast("long") * (100 + percent) >= (F.col("a.n") + F.col("b.n")).cast("long") * percent
+        cross = marked.filter("not major").alias("a").join(marked.alias("b"), (F.col("a.gram") == F.col("b.gram")) & apart & fits & enough)
+        pairs, _ = common.stored(spark, cross.select(*pair).distinct(), "pairs")
         if pairs.limit(1).count():
             labels = joined(labels, pairs)
     common.remove(spark, longer_path)
