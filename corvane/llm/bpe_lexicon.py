@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .piece_cache import _KEEPING, _ODD, tokenizer_path
+from .piece_cache import _KEEPING, _ODD, _PLAIN, tokenizer_path
 
 _MAGIC = b"CVLEX001"
 _HEADER = struct.Struct("<8s6Q")  # magic; states, arcs, words, ids, two spare
@@ -62,6 +62,7 @@ class Merger:
         self.first = [vocab[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self._merged: dict[str, list[int]] = {}
         self._whole = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
     def segments(self, text: str) -> Iterator[str | int]:
@@ -114,8 +115,19 @@ class Merger:
         return [x for x, live in zip(ids, alive, strict=True) if live]
 
     def word(self, text: str) -> list[int]:
-        """Ids of a text without added tokens."""
-        return [i for token in self.pattern.findall(text) for i in self.merge(token)]
+        """Ids of a text without added tokens; the merges of short matches are kept for the next word that has them."""
+        tokens = (text,) if _PLAIN.fullmatch(text) else self.pattern.findall(text)
+        out: list[int] = []
+        for token in tokens:
+            ids = self._merged.get(token)
+            if ids is None:
+                ids = self.merge(token)
+                if len(token) <= 40:
+                    if len(self._merged) >= 200_000:
+                        self._merged.clear()
+                    self._merged[token] = ids
+            out += ids
+        return out
 
 
 def words_of(text: str) -> list[str]:
@@ -242,7 +254,7 @@ class Lexicon:
 class Codec:
     """Encodes and decodes whole texts; a bounded memo keeps the words seen last."""
 
-    def __init__(self, merger: Merger, lexicon: Lexicon | None, limit: int = 500_000):
+    def __init__(self, merger: Merger, lexicon: Lexicon | None, limit: int = 300_000):
         self.merger, self.lexicon, self.limit = merger, lexicon, limit
         self._memo: dict[str, bytes] = {}
 
@@ -251,7 +263,12 @@ class Codec:
         if len(memo) > self.limit:
             memo.clear()
         parts = [[x if isinstance(x, int) else words_of(x) for x in self.merger.segments(t)] for t in texts]
-        new = {w for p in parts for x in p if not isinstance(x, int) for w in x if w not in memo}
+        seen: set[str] = set()
+        for p in parts:
+            for x in p:
+                if not isinstance(x, int):
+                    seen.update(x)
+        new = [w for w in seen if w not in memo]
         words, long = [w for w in new if len(w) <= 64], {}
         ranks = self.lexicon.ranks([w.encode("utf-8") for w in words]) if self.lexicon else np.full(len(words), -1)
         for w, rank in zip(words, ranks.tolist(), strict=True):
@@ -334,7 +351,9 @@ def _decoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, None) if not _codecs else next(iter(_codecs.values()))
         for batch in batches:
-            texts = [c.decode(ids or ()) for ids in batch.column(1).to_pylist()]
+            lists = batch.column(1)
+            flat, ends = lists.flatten().to_numpy(zero_copy_only=False).tolist(), np.cumsum([0, *lists.value_lengths().fill_null(0).to_pylist()]).tolist()
+            texts = [c.decode(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
     return run
