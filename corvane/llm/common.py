@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -85,10 +86,25 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with short batches."""
+    """``mapInArrow`` with short batches; a task gives the memory that it has freed back to the system."""
     bounded_batches(df.sparkSession)
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        trim()
+
+    return df.mapInArrow(run, schema)
+
+
+def trim() -> None:
+    """Python workers live on from one operator to the next: hand back what the last one no longer holds."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def texts_of(column: pa.Array) -> list[str]:

@@ -61,7 +61,7 @@ class _Memo(dict):
 class PieceEncoder:
     """``encode(text)`` gives the library's ids (no special tokens added) as packed unsigned 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
