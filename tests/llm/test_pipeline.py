@@ -3,15 +3,19 @@
 import re
 
 import corpus_pipeline
-from corvane.llm import common
+from corvane.llm import common, piece_cache, secret_scan
 
 from . import brute
 
 SF = "/root/testdata/sf0.001"
+SCANNER = secret_scan.Scanner(piece_cache.tokenizer_path("byte_bpe_50k.tiktoken"), 2.0)
 
 
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = docs.filter("lang = 'en' and n_chars > 500").orderBy("doc_id").first()
+    secret = " ".join(reversed(first["text"].split())) + " password = hunter22222"
+    docs = docs.unionByName(spark.createDataFrame([(10**6, secret, "en", "src0", len(secret))], docs.schema))
     columns = docs.columns
     seen = {}
     for name, stage in corpus_pipeline.STAGES:
@@ -28,7 +32,8 @@ def test_stages(spark):
     before, after = seen["jaccard_join"]
     assert set(after) == {i for i, root in brute.components(list(before.items())).items() if i == root}
     before, after = seen["secret_scan"]
-    assert set(before) == set(after) and any("[secret]" in t for t in after.values())
+    assert set(before) == set(after) and after[10**6].endswith(" [secret]")
+    assert {i for i in after if after[i] != before[i]} == {i for i, t in before.items() if SCANNER.scan(t)}
     assert {r["doc_id"] for r in docs.collect()} == set(after)
 
 
