@@ -203,9 +203,8 @@ class Page:
 
 def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = common.texts_of(batch.column(1))
-        pages = [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in texts]
-        yield pa.record_batch([batch.column(0), pa.array(pages, pa.int64()), pa.array([list(Page(t).subtrees()) for t in texts], pa.list_(pa.int64()))], ["host", "page", "subtrees"])
+        found = [list(Page(t).subtrees()) for t in common.texts_of(batch.column(2))]
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], ["host_key", "page", "subtrees"])
 
 
 def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,18 +213,18 @@ def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
 
-def templates(spark: SparkSession, pages: DataFrame, *, min_pages: int = 5, min_share: float = 0.1) -> DataFrame:
-    """host and its template: subtrees on at least ``min_pages`` and ``min_share`` of the host's different pages.
+def templates(spark: SparkSession, pages: DataFrame, *, min_pages: int = 5) -> DataFrame:
+    """host_key, page and the page's template: those of its subtrees that are on at least ``min_pages`` different pages of the host.
 
-    As each of them is on that share of the pages, a host has at most 1 / min_share times the subtrees of its average page.
+    The count is the same for a host of any size. A list holds a page's own subtrees only, so it is bounded by the page.
     """
-    rows = common.arrow_map(pages.filter("host is not null and html is not null").select("host", "html"), _subtree_rows, "host string, page long, subtrees array<long>")
-    rows = rows.select(F.xxhash64("host").alias("host_key"), "page", "subtrees")
-    each = rows.select("host_key", "page", F.explode(F.array_append("subtrees", F.lit(None).cast("long"))).alias("subtree")).distinct()  # null stands for the page itself
-    counts, _ = common.stored(spark, each.groupBy("host_key", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("subtree").isNull() | (F.col("n") >= min_pages)), "subtrees")
-    totals = counts.filter("subtree is null").select("host_key", F.col("n").alias("pages"))
-    found = counts.filter("subtree is not null").join(totals, "host_key").filter(F.col("n") >= F.col("pages") * min_share)
-    out, _ = common.stored(spark, found.groupBy("host_key").agg(F.collect_list("subtree").alias("template")), "templates")
+    rows = common.arrow_map(pages.filter("host_key is not null and html is not null").select("host_key", "page", "html"), _subtree_rows, "host_key long, page long, subtrees array<long>")
+    each, each_path = common.stored(spark, rows.select("host_key", "page", F.explode("subtrees").alias("subtree")).distinct(), "subtrees")
+    recurring, recurring_path = common.stored(spark, each.groupBy("host_key", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages).select("host_key", "subtree"), "recurring")
+    own = each.join(recurring, ["host_key", "subtree"]).groupBy("host_key", "page").agg(F.collect_list("subtree").alias("template"))
+    out, _ = common.stored(spark, own, "templates")
+    common.remove(spark, each_path, recurring_path)
+    common.release(spark)
     return out
 
 
@@ -236,8 +235,9 @@ def extract(spark: SparkSession, pages: DataFrame, **options) -> DataFrame:
     and repeated rows: a row each. Empty table: no rows. Other columns are ignored.
     """
     host = F.lower(F.regexp_extract(F.col("url").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1))
-    rows = pages.select(F.col("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), F.when(host != "", host).alias("host"))
-    known = templates(spark, rows.select("host", "html"), **options)
-    joined = rows.withColumn("host_key", F.xxhash64("host")).join(known, "host_key", "left").select("page_id", "url", "html", "template")
+    rows = pages.select(F.col("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), F.when(host != "", F.xxhash64(host)).alias("host_key"))
+    rows = rows.withColumn("page", F.xxhash64("html"))  # copies of a page have one template
+    known = templates(spark, rows, **options)
+    joined = rows.join(known.hint("shuffle_hash"), ["host_key", "page"], "left").select("page_id", "url", "html", "template")
     out = common.arrow_map(joined, _text_rows, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -1,6 +1,7 @@
 """Training-data operators and the pipeline do the whole job on hosts, sources and ids that the test tables don't have."""
 
 import corpus_pipeline
+from corvane.llm import html_text
 
 
 def test_pipeline_links_near_copies_at_0_8_of_5_words(spark):
@@ -10,3 +11,11 @@ def test_pipeline_links_near_copies_at_0_8_of_5_words(spark):
     docs = [(1, " ".join(words)), (2, " ".join(words[:86])), (3, " ".join(other)), (4, " ".join(other[:83]))]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == [1, 3, 4]
+
+def test_template_of_a_large_host(spark):
+    """What recurs on 8 of 100 pages goes as it does on 8 of 8, also from the copy of a page; what recurs on 4 stays."""
+    rows = [(k, "http://a.example/", f"<body>{'<div><p>Rotating</p></div>' if k < 8 else ''}{'<div><p>Seldom</p></div>' if k >= 96 else ''}<div><p>Text {k}</p></div></body>") for k in range(100)]
+    rows += [(100, *rows[0][1:]), (101, "http://b.example/", rows[0][2]), (102, None, rows[0][2])]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {k: f"Text {k}" for k in range(96)} | {k: f"Seldom\n\nText {k}" for k in range(96, 100)} | {100: "Text 0", 101: "Rotating\n\nText 0", 102: "Rotating\n\nText 0"}
+    assert got == want
