@@ -386,8 +386,8 @@ def literal(value: Any, width: str | None = None) -> Expr:
     return Expr("literal", (Int(value, width) if width else value,))
 
 
-def check(query: Query) -> None:
-    """The rules on stages that need no schema."""
+def check(query: Query, *, every_row: bool = False) -> None:
+    """The rules on stages that need no schema; with ``every_row`` a sort may stand without a limit."""
 
     def depth(e: Expr) -> int:
         if e.op in ("all", "any") and len(e.args) > MAX_ARITY:
@@ -445,7 +445,7 @@ def check(query: Query) -> None:
                 depth(e)
         elif s.kind == "fetch" and (both := selected & set(s.value)):
             raise InvalidArgument(f"fetch overlaps select: {', '.join(sorted(both))}")
-    if sorts and not limits:
+    if sorts and not limits and not every_row:
         raise InvalidArgument("sort must be followed by limit")
 
 

@@ -47,8 +47,8 @@ def _is(kind: T.DataType, *kinds: type) -> bool:
 class Lowering:
     """One query over one source."""
 
-    def __init__(self, source: Source, query: Query):
-        check(query)
+    def __init__(self, source: Source, query: Query, *, every_row: bool = False):
+        check(query, every_row=every_row)
         self.source, self.query = source, query
         self.df = source.df
         self.base = set(self.df.columns)
@@ -468,14 +468,14 @@ class Lowering:
                 fetched = s.value
         df = self.df
         self.matched = df if self.order else None
+        if self.skip and self.limited is None:
+            raise InvalidArgument("offset needs a limit")
+        if self.order:
+            df = df.orderBy(*self.order)
+        if self.skip:
+            df = df.offset(self.skip)
         if self.limited is not None:
-            if self.order:
-                df = df.orderBy(*self.order)
-            if self.skip:
-                df = df.offset(self.skip)
             df = df.limit(self.limited)
-        elif self.skip:
-            raise InvalidArgument("offset needs a limit")
         if fetched:
             self.df = df
             names = [c for c in self.source.df.columns if c != "_id"] if "*" in fetched else list(fetched)
@@ -604,8 +604,9 @@ def java_pattern(pattern: str, flags: str) -> str:
     return (f"(?{inline})" if inline else "") + pattern
 
 
-def run(source: Source, query: Query) -> DataFrame:
-    return Lowering(source, query).run()
+def run(source: Source, query: Query, *, every_row: bool = False) -> DataFrame:
+    """The result; with ``every_row`` a sort without a limit returns all rows that have a key."""
+    return Lowering(source, query, every_row=every_row).run()
 
 
 def run_with_matched(source: Source, query: Query) -> tuple[DataFrame, Callable[[], int | None]]:

@@ -60,8 +60,8 @@ def _registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
     q: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
     lid = "l_orderkey || '-' || l_linenumber AS _id"
 
-    def on(table: str, query: Query, fields: Mapping[str, s.FieldSpec] | None = None, rounded: tuple[str, ...] = (), digits: int = 3):
-        return lambda spark, sf: _rounded(run(source(spark, sf, table, fields), query), *rounded, digits=digits)
+    def on(table: str, query: Query, fields: Mapping[str, s.FieldSpec] | None = None, rounded: tuple[str, ...] = (), digits: int = 3, every_row: bool = False):
+        return lambda spark, sf: _rounded(run(source(spark, sf, table, fields), query, every_row=every_row), *rounded, digits=digits)
 
     # stages
     q["filter_sort_limit"] = (
@@ -77,7 +77,7 @@ def _registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
         "SELECT p_partkey::VARCHAR AS _id, p_size, p_brand FROM part ORDER BY p_size, p_brand DESC, _id LIMIT 200",
     )
     q["sort_drops_null_keys"] = (
-        on("events", b.select(v=(f("event_type") == "purchase").choose(f("value"), None)).sort(f("v")).limit(1_000_000)),
+        on("events", b.select(v=(f("event_type") == "purchase").choose(f("value"), None)).sort(f("v")), every_row=True),
         "SELECT event_id::VARCHAR AS _id, value AS v FROM events WHERE event_type = 'purchase'",
     )
     q["topk_alias"] = (
@@ -187,7 +187,7 @@ def _registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
     )
     q["match_exact_keyword"] = (on("documents", b.filter(match_tokens(["de", "es"], "lang")).select("lang"), _TEXT), "SELECT doc_id::VARCHAR AS _id, lang FROM documents WHERE lang IN ('de', 'es')")
     q["bm25"] = (
-        on("documents", b.select(score=fn.bm25_score()).filter(match("from thea which", "text")).sort(f("score")).limit(100_000_000), _TEXT, rounded=("score",)),
+        on("documents", b.select(score=fn.bm25_score()).filter(match("from thea which", "text")).sort(f("score")), _TEXT, rounded=("score",), every_row=True),
         _bm25_sql([("from", 1.0), ("thea", 1.0), ("which", 1.0)], "list_has_any(toks, ['from', 'thea', 'which'])", ""),
     )
     q["bm25_should_boost"] = (
