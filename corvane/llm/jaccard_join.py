@@ -343,9 +343,20 @@ def link_components(spark: SparkSession, docs: DataFrame, *, percent: int = 85,
 
 
 def first_of_each(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents, one of each component (that with the least id), with all their columns. Rows without an id stay."""
-    found = link_components(spark, docs, id_col=id_col, **options)
-    drop = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    (key,) = common.hidden(docs, "dropped")
-    drop, _ = common.stored(spark, drop.withColumnRenamed("doc_id", key), "drop")
-    return docs.join(drop, F.col(id_col).cast("long") == F.col(key), "left_anti")
+    """The rows, one of each component (that with the least id, one without an id last), with all their columns.
+
+    Rows are the nodes: where an id is null or on several rows, a stored copy gives each row a key of its own.
+    """
+    ids = docs.select(F.col(id_col).cast("long").alias("id"))
+    if not ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("id is null or n > 1").limit(1).count():
+        drop = link_components(spark, docs, id_col=id_col, **options).filter("component_id <> doc_id").select("doc_id")
+        (key,) = common.hidden(docs, "dropped")
+        drop, _ = common.stored(spark, drop.withColumnRenamed("doc_id", key), "drop")
+        return docs.join(drop, F.col(id_col).cast("long") == F.col(key), "left_anti")
+    (key,) = common.hidden(docs, "row")
+    rows, _ = common.stored(spark, docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    found = link_components(spark, rows, id_col=key, **options).select(F.col("doc_id").alias("row"), "component_id")
+    found = found.join(rows.select(F.col(key).alias("row"), F.col(id_col).cast("long").alias("id")), "row")
+    kept = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
+    kept, _ = common.stored(spark, kept.select(F.col("first.row").alias(key)), "kept")
+    return rows.join(kept, key, "left_semi").select(*[rows[f"`{c}`"] for c in docs.columns])

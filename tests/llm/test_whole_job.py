@@ -1,7 +1,7 @@
 """Training-data operators and the pipeline do the whole job on hosts, sources and ids that the test tables don't have."""
 
 import corpus_pipeline
-from corvane.llm import html_text
+from corvane.llm import html_text, jaccard_join
 
 
 def test_pipeline_links_near_copies_at_0_8_of_5_words(spark):
@@ -19,3 +19,14 @@ def test_template_of_a_large_host(spark):
     got = {r["page_id"]: r["text"] for r in html_text.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     want = {k: f"Text {k}" for k in range(96)} | {k: f"Seldom\n\nText {k}" for k in range(96, 100)} | {100: "Text 0", 101: "Rotating\n\nText 0", 102: "Rotating\n\nText 0"}
     assert got == want
+
+
+def test_first_of_each_works_by_row(spark):
+    a, b, c, d = ([f"{x}{i}" for i in range(40)] for x in "abcd")
+    text = lambda words, n=40: " ".join(words[:n])
+    # near copies without an id, of a row with one, and under one id; a text that shares its id with a near copy; no words
+    docs = [(None, text(a)), (None, text(a, 39)), (5, text(b)), (None, text(b, 39)), (7, text(c)), (7, text(c, 39)), (9, text(b, 38)), (9, text(d)), (None, ""), (None, "")]
+    out = jaccard_join.first_of_each(spark, spark.createDataFrame(docs, "doc_id long, text string"))
+    assert out.columns == ["doc_id", "text"]
+    got = sorted((r["doc_id"] or 0, r["text"][:2]) for r in out.collect())
+    assert got == [(0, ""), (0, ""), (0, "a0"), (5, "b0"), (7, "c0"), (9, "d0")]
