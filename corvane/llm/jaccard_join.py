@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from . import common
 
 _U = np.uint64
-#: Shingles of a block at least, where a task has so many.
-_BLOCK = 1 << 20
+#: Shingles of a block of the screen and of a block of whole sets, where a task has so many.
+_BLOCK, _SET_BLOCK = 1 << 20, 1 << 18
 _MANY = np.uint32(0xFFFFFFFF)
 _CLASSES = 256
 
@@ -255,7 +255,7 @@ def _set_blocks(width: int):
                 nodes.append(node)
                 sets.append(shingler.shingles(text))
                 held += len(sets[-1]) + 1
-                if held >= _BLOCK:
+                if held >= _SET_BLOCK:
                     yield flush(block, nodes, sets)
                     block, held = block + 1, 0
                     nodes, sets = [], []

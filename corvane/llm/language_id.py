@@ -25,6 +25,8 @@ from . import common
 UNKNOWN = "und"
 _U = np.uint64
 _SCALE = 50.0
+#: Weights that are gathered at once.
+_GATHER = 1 << 20
 _KEYS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)  # odd multipliers
 
 
@@ -69,9 +71,11 @@ class Model:
     bits: int
 
     def scores(self, features: np.ndarray) -> np.ndarray:
-        """Calibrated probabilities."""
-        logits = self.bias + self.weights[features].sum(axis=0, dtype=np.float64) * (_SCALE / len(features))
-        return _softmax(logits / self.temperature)
+        """Calibrated probabilities; the weights of a long text are gathered in pieces of a bounded size."""
+        total, step = np.zeros(len(self.languages)), max(64, _GATHER // len(self.languages))
+        for at in range(0, len(features), step):
+            total += self.weights[features[at : at + step]].sum(axis=0, dtype=np.float64)
+        return _softmax((self.bias + total * (_SCALE / len(features))) / self.temperature)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -122,15 +126,18 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 
 def _df_rows(bits: int):
+    """Texts by feature, and as feature -1 all texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, df = NGrams(bits), np.zeros(1 << bits, dtype=np.int64)
+        grams, df, texts = NGrams(bits), np.zeros(1 << bits, dtype=np.int64), 0
         for batch in batches:
+            texts += batch.num_rows
             for text in common.texts_of(batch.column(0)):
                 seen = np.zeros(1 << bits, dtype=bool)
                 seen[grams.features(text)] = True
                 df += seen
         at = np.flatnonzero(df)
-        yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(df[at])], ["feature", "n"])
+        yield pa.record_batch([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(df[at], texts))], ["feature", "n"])
 
     return run
 
@@ -154,45 +161,64 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(common.crc_mod(doc_id, 4) == 2, F.lit(False))
 
 
-def train(spark: SparkSession, docs: DataFrame, *, bits: int = 16, sample_per_language: int = 1000, max_languages: int = 256, epochs: int = 3) -> Model | None:
+def train(spark: SparkSession, docs: DataFrame, *, bits: int = 16, sample_per_language: int = 1000, sample: int = 20_000, epochs: int = 3) -> Model | None:
     """Fit on documents (doc_id, text, lang) with an id and a language that aren't held out; None if there are none.
 
-    Document frequencies are counted over all of them; weights and temperature come from about
-    ``sample_per_language`` documents of each language (distinct texts, chosen by hash; the bound of the sample).
-    Only the ``max_languages`` most frequent values of lang are learned.
+    Document frequencies are counted over all of them, and every value of lang is learned. Weights and temperature come
+    from a bounded sample: of each language the ``sample_per_language`` distinct texts with the least hashes, or an equal part
+    of ``sample`` in all if that is less (one text at least). A text with several languages counts for the least of them.
+    The driver holds the sample and two tables of ``2^bits`` by languages. Extra columns are ignored.
     """
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out())
-    by = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    if not by:
+    df, total = np.zeros(1 << bits, dtype=np.int64), 0
+    got = common.arrow_map(rows.select("text"), _df_rows(bits), "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()  # 2^bits + 1 rows at most
+    for feature, n in zip(got.column("feature").to_numpy(), got.column("n").to_numpy(), strict=True):
+        if feature < 0:
+            total = int(n)
+        else:
+            df[feature] = n
+    if not total:
         return None
-    languages = sorted(r["lang"] for r in by)
-    df = np.zeros(1 << bits, dtype=np.int64)
-    got = common.arrow_map(rows.select("text"), _df_rows(bits), "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()  # 2^bits rows at most
-    df[got.column("feature").to_numpy()] = got.column("n").to_numpy()
-    idf = np.log((1 + sum(r["n"] for r in by)) / (1 + df)) + 1
-
-    # a share of each language by hash, then the least hashes up to the bound
-    share = F.create_map(*[x for r in by for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.3 * sample_per_language / r["n"])))])
-    h = F.xxhash64("text")
-    part = rows.select(h.alias("h"), "lang", "text").filter(F.pmod("h", F.lit(1 << 20)) < F.try_element_at(share, F.col("lang")) * (1 << 20)).dropDuplicates(["h"])
-    sample = common.arrow_map(part, _sample_rows(bits), "h long, lang string, features binary, counts binary").orderBy("h").limit(2 * sample_per_language * len(languages)).toArrow()
+    idf = np.log((1 + total) / (1 + df)) + 1
+
+    # distinct texts by hash; a share of each language's, then the least hashes up to the bound
+    distinct, path = common.stored(spark, rows.groupBy(F.xxhash64("text").alias("h")).agg(F.min("lang").alias("lang")), "labelled")
+    by = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each language
+    languages, place = sorted(by), F.pmod("h", F.lit(1 << 40))
+    each = max(1, min(sample_per_language, sample // len(languages)))
+    shares = spark.createDataFrame([(x, min(1.0, 1.5 * each / n + 8 * math.sqrt(each) / n) * (1 << 40)) for x, n in by.items()], "lang string, share double")
+    near = distinct.join(F.broadcast(shares), "lang").filter(place < F.col("share")).toArrow()  # about 1.5 times the sample
+    taken: dict[str, list[int]] = {}
+    for h, lang in sorted(zip(near.column("h").to_pylist(), near.column("lang").to_pylist(), strict=True), key=lambda x: (x[0] % (1 << 40), x[0])):
+        if len(taken.setdefault(lang, [])) < each:
+            taken[lang].append(h)
+    chosen = spark.createDataFrame(pa.table({"h": pa.array([h for x in languages for h in taken.get(x, ())], pa.int64()), "label": pa.array([x for x in languages for _ in taken.get(x, ())], pa.string())}))
+    texts = rows.select(F.xxhash64("text").alias("h"), "text").join(F.broadcast(chosen), "h").groupBy("h").agg(F.first("label").alias("lang"), F.first("text").alias("text"))
+    picked = common.arrow_map(texts.select("h", "lang", "text"), _sample_rows(bits), "h long, lang string, features binary, counts binary").toArrow()
+    common.remove(spark, path)
+    hashes, labels = picked.column("h").to_numpy(), picked.column("lang").to_pylist()
+    numbers = {x: i for i, x in enumerate(languages)}
     examples = []
-    for hash_, lang, at, n in sorted(zip(*[sample.column(i).to_pylist() for i in range(4)], strict=True), key=lambda x: x[0]):
-        at, n = np.frombuffer(at, dtype="<i4"), np.frombuffer(n, dtype="<i4")
-        values = n / n.sum() * idf[at] * _SCALE
-        examples.append((np.append(at, 1 << bits), np.append(values, 1.0), languages.index(lang), hash_ % 5 == 0))
+    for i in np.argsort(hashes, kind="stable").tolist():
+        at, n = (np.frombuffer(picked.column(c)[i].as_buffer(), dtype="<i4") for c in ("features", "counts"))
+        values = (n / n.sum() * idf[at] * _SCALE).astype(np.float32)
+        examples.append((np.append(at, np.int32(1 << bits)), np.append(values, np.float32(1)), numbers[labels[i]], int(hashes[i]) % 5 == 0))
+    del picked, hashes, labels
     learner = Ftrl((1 << bits) + 1, len(languages))
-    chosen = np.random.default_rng(7)
+    chooser = np.random.default_rng(7)
     fit = [x for x in examples if not x[3]] or examples
     for _ in range(epochs):
-        for i in chosen.permutation(len(fit)):
+        for i in chooser.permutation(len(fit)):
             learner.learn(*fit[i][:3])
     w = learner.weights()
     apart = [x for x in examples if x[3]]
     logits = np.array([v @ w[at] for at, v, _, _ in apart]).reshape(len(apart), len(languages))
     temperature = fit_temperature(logits, np.array([x[2] for x in apart], dtype=np.int64))
-    return Model(languages, (w[:-1] * idf[:, None]).astype(np.float32), w[-1], temperature, bits)
+    out = Model(languages, (w[:-1] * idf[:, None]).astype(np.float32), w[-1].copy(), temperature, bits)
+    del examples, fit, apart, learner, w
+    common.trim()
+    return out
 
 
 _grams: dict[int, NGrams] = {}
@@ -230,7 +256,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model | None, *, text:
     """
     if {x.lower() for x in into} & {c.lower() for c in docs.columns}:
         raise ValueError(f"there is a column of {into} already")
-    sent = spark.sparkContext.broadcast(model)  # 2^bits features times at most max_languages
+    sent = spark.sparkContext.broadcast(model)  # 2^bits features times the languages
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.withColumn(*common.hidden(docs, "lid_text"), F.col(text).cast("string")).toDF(*names, "t")
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -239,14 +265,23 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model | None, *, text:
 
 
 def identify(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """A row per document: doc_id, held_out, lang_pred, score. Null doc_id: predicted, not learned from, not held out."""
+    """A row per document: doc_id, held_out, lang_pred, score.
+
+    Null doc_id: predicted, not learned from, not held out. Null lang: not learned from. Null text or one without a letter:
+    ``und``, score 0. Repeated rows: a row each, all alike. Very long texts: read whole, in one worker. Ties between
+    languages go to the first by name. Empty table: no rows. Other columns are ignored, whatever their names.
+    """
     model = train(spark, docs, **options)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     return predict(spark, rows, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, *, min_score: float = 0.5, **options) -> DataFrame:
-    """The documents whose language is one of those learned, with all their columns; ``und`` and scores under ``min_score`` go."""
+    """The documents whose language is one of those learned, with all their columns; ``und`` and scores under ``min_score`` go.
+
+    So a null text or one without a letter goes, and everything if nothing could be learned. Repeated rows stay or go together;
+    nulls in other columns, names that clash and very long texts don't matter. Empty table: no rows.
+    """
     name, score = common.hidden(docs, "lang_pred", "lang_score")
     found = predict(spark, docs, train(spark, docs, **options), into=(name, score))
     return found.filter((F.col(name) != UNKNOWN) & (F.col(score) >= min_score)).select(*[f"`{c}`" for c in docs.columns])

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from . import common
 from .piece_cache import encoder, tokenizer_path
 
-#: Windows whose boundaries are computed at once.
-_BLOCK = 4096
+#: Boundaries that are computed at once: windows times queues.
+_CELLS = 1 << 20
 
 
 class Schedule:
@@ -93,8 +93,9 @@ class Schedule:
         if not len(starts):
             return
         k0, k1 = self.rank(queue, int(starts[0])) // self.length, self.rank(queue, int(ends[-1]) - 1) // self.length
-        for k in range(k0, k1 + 1, _BLOCK):
-            n = min(_BLOCK, k1 + 1 - k)
+        block = max(1, min(4096, _CELLS // len(self.totals)))
+        for k in range(k0, k1 + 1, block):
+            n = min(block, k1 + 1 - k)
             served = self.boundaries(k, k + n)
             own = served[:, queue]
             ahead = np.diff(served[:, :queue], axis=0).sum(axis=1)
@@ -163,7 +164,6 @@ def pack(
     end_id: int = 1,
     length: int = 2048,
     weights: dict[str | None, float] | None = None,
-    max_queues: int = 1024,
 ) -> DataFrame:
     """Pack documents (columns doc_id, text, source) into sequences of ``length`` tokens, mixed by source.
 
@@ -172,18 +172,20 @@ def pack(
     shares of all tokens, so that all queues run dry together.
 
     Null or empty text: a document of the end id alone. Null source: a queue of its own. Null doc_id: kept, first
-    in its queue. Rows with the same doc_id: each is a document. Empty table: no rows. Other columns are ignored.
-    More than ``max_queues`` sources (queue state is broadcast, so bounded) share that many queues by hash.
+    in its queue. Rows with the same doc_id: each is a document; those with the same text stand in any order. Ties in
+    the order of service go to the queue first by name. Very long texts: encoded whole by one worker, cut over as many
+    windows as needed. Empty table: no rows. Other columns are ignored, whatever their names.
+
+    Every source has a queue of its own, however many there are. The driver and each task hold a number of tokens and a weight
+    for each queue, and the work for a window grows with the number of queues.
     """
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
     source = F.col("source").cast("string")
-    few = docs.select(source.alias("s")).distinct().limit(max_queues + 1).count() <= max_queues
-    if not few and weights is not None:
-        raise ValueError(f"weights need at most {max_queues} sources")
-    queue = F.when(source.isNull(), "null").otherwise(F.concat(F.lit("="), source)) if few else F.concat(F.lit("#"), F.pmod(F.xxhash64(source), F.lit(max_queues)).cast("string"))
+    queue = F.when(source.isNull(), "null").otherwise(F.concat(F.lit("="), source))
     rows = docs.select(queue.alias("queue"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.select("queue", "doc_id", "text", F.xxhash64("text").alias("h"))
-    ordered = rows.repartitionByRange("queue", "doc_id", "h").sortWithinPartitions("queue", "doc_id", "h").select("queue", "doc_id", "text")
+    # equal rows are dealt out by the task that read them
+    rows = rows.select("queue", "doc_id", "text", F.xxhash64("text").alias("h"), F.spark_partition_id().alias("task"))
+    ordered = rows.repartitionByRange("queue", "doc_id", "h", "task").sortWithinPartitions("queue", "doc_id", "h").select("queue", "doc_id", "text")
     tokens, _ = common.stored(spark, common.arrow_map(ordered, _token_rows(path, end_id), "part int, queue string, doc_id long, at long, n long, ids binary"), "pack")
 
     sums = sorted((r["queue"], r["part"], r["n"]) for r in tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")).collect())  # partitions plus queues, at most

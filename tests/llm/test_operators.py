@@ -98,9 +98,43 @@ def test_packing_keeps_proportions():
     assert (np.abs(counts[:20] - [20, 10, 10]) <= 1).all() and (counts[30] == [0, 20, 20]).all()
 
 
-def test_packing_many_queues(spark):
-    docs = spark.range(60).selectExpr("id doc_id", "'a b c' text", "concat('s', id) source")
-    assert packing.pack(spark, docs, max_queues=8).agg(F.sum("length"), F.countDistinct("queue")).first()[0] == 60 * 4
+def served_step_by_step(totals, weights, length):
+    """Deficit round-robin one token at a time: the next one is that whose credit is covered first, ties by queue."""
+    served, out, ends = [0] * len(totals), [], []
+    while len(out) < sum(totals):
+        due = [((served[i] + 0.5) / weights[i], i) for i in range(len(totals)) if served[i] < totals[i]]
+        out.append(min(due)[1])
+        served[out[-1]] += 1
+        if len(out) % length == 0 or len(out) == sum(totals):
+            ends.append(list(served))
+    return out, ends
+
+
+@pytest.mark.parametrize("totals,weights", [([40, 3, 90, 0, 17], None), ([30, 30, 30], [0.5, 0.3, 0.2]), ([5, 5, 5], [1.0, 1.0, 1.0]), ([1], None)])
+def test_packing_serves_as_step_by_step(totals, weights):
+    s = packing.Schedule(totals, weights, 16)
+    order, ends = served_step_by_step(totals, s.weights, 16)
+    assert s.boundaries(0, s.windows)[1:].tolist() == ends
+    for queue in range(len(totals)):
+        assert [s.rank(queue, t) for t in range(totals[queue])] == [i for i, q in enumerate(order) if q == queue]
+
+
+def test_packing_many_sources(spark):
+    """3,000 sources: one queue each, and every window end is that of the step-by-step version."""
+    docs = spark.range(3000).selectExpr("id doc_id", "repeat('a b c ', int(id % 7)) text", "concat('s', id) source")
+    rows = packing.pack(spark, docs, length=512).select("queue", "length", "sequence_id", "offset", "doc_tokens").collect()
+    totals = {r["queue"]: r["doc_tokens"] for r in rows}
+    names = sorted(totals)
+    assert len(names) == 3000
+    got = {}
+    for r in rows:
+        got[r["sequence_id"], r["queue"]] = got.get((r["sequence_id"], r["queue"]), 0) + r["length"]
+    schedule = packing.Schedule([totals[q] for q in names], None, 512)
+    order = sorted(((t + 0.5) / w, i) for i, (q, w) in enumerate(zip(names, schedule.weights, strict=True)) for t in range(totals[q]))
+    want = {}
+    for k, (_, i) in enumerate(order):
+        want[k // 512, names[i]] = want.get((k // 512, names[i]), 0) + 1
+    assert got == want
 
 
 def test_secrets(spark, texts, empty):
@@ -160,6 +194,61 @@ def test_language_id(spark, texts, empty):
     assert kept.columns == texts.columns and kept.filter("doc_id < 1000000").count() == len(known)
 
 
+def test_language_id_with_400_languages(spark):
+    """Every value of lang is learned; a text under two of them counts for the least, however rows are dealt."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k: "".join(letters[(k // 26**i) % 26] for i in range(2)) * 2
+    rows = [(12 * k + j, " ".join([word(k)] * (6 + j)), f"l{k:03}") for k in range(400) for j in range(12)]
+    rows += [(10**6 + j, "zz yy xx", f"l{390 + j}") for j in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(spark, docs, sample=4000, epochs=5).collect()}
+    right = [got[i] == lang for i, _, lang in rows if i < 10**6]
+    assert np.mean(right) > 0.95 and len(set(got.values())) >= 395
+    one, two = (language_id.train(spark, docs.repartition(n), sample=4000) for n in (2, 5))
+    assert one.languages == two.languages and np.array_equal(one.weights, two.weights) and one.temperature == two.temperature
+
+
+def test_ftrl_and_idf_are_the_plain_ones(spark):
+    """The learner against a plain one over dictionaries, and the frequencies against counting."""
+    rng = np.random.default_rng(4)
+    learner, z, n, (alpha, beta, l1, l2) = language_id.Ftrl(30, 3), {}, {}, (0.5, 1.0, 0.02, 0.5)
+
+    def weight(i, c):
+        x = z.get((i, c), 0.0)
+        return 0.0 if abs(x) <= l1 else -(x - np.sign(x) * l1) / ((beta + np.sqrt(n.get((i, c), 0.0))) / alpha + l2)
+
+    for _ in range(60):
+        rows = np.sort(rng.choice(30, 6, replace=False))
+        values, label = rng.random(6), int(rng.integers(3))
+        w = {(i, c): weight(i, c) for i in rows for c in range(3)}
+        logits = [sum(v * w[i, c] for i, v in zip(rows, values, strict=True)) for c in range(3)]
+        p = np.exp(logits) / np.exp(logits).sum()
+        for i, v in zip(rows, values, strict=True):
+            for c in range(3):
+                g, old = v * (p[c] - (c == label)), n.get((i, c), 0.0)
+                z[i, c] = z.get((i, c), 0.0) + g - (np.sqrt(old + g * g) - np.sqrt(old)) / alpha * w[i, c]
+                n[i, c] = old + g * g
+        learner.learn(rows, values, label)
+    assert np.allclose(learner.weights(), [[weight(i, c) for c in range(3)] for i in range(30)])
+    assert (learner.weights() == 0).any()
+    docs = spark.createDataFrame([(1, "ab ab", "x"), (4, "b", "x"), (5, "ab", "y"), (6, "1 2", "y"), (7, None, "y")], "doc_id long, text string, lang string")
+    grams = language_id.NGrams(16)
+    held = [i for i, t, _ in docs.collect() if t and re.search("[a-z]", t) and zlib.crc32(str(i).encode()) % 4 != 2]
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    df = sum(np.isin(np.arange(1 << 16), grams.features(texts[i])) for i in held)
+    model = language_id.train(spark, docs)
+    assert model.languages == sorted({r["lang"] for r in docs.collect() if r["doc_id"] in held})
+    got = dict(map(tuple, common.arrow_map(docs.filter(F.col("doc_id").isin(held)).select("text"), language_id._df_rows(16), "feature int, n long").groupBy("feature").agg(F.sum("n")).collect()))
+    assert got.pop(-1) == len(held) and got == {int(i): int(df[i]) for i in np.flatnonzero(df)}
+
+
+def test_long_text_scores_in_pieces():
+    model = language_id.Model(["a", "b"], np.random.default_rng(3).normal(size=(1 << 8, 2)).astype(np.float32), np.zeros(2), 1.3, 8)
+    f = np.random.default_rng(5).integers(0, 1 << 8, 3_000_000)
+    want = language_id._softmax((model.weights[f].sum(axis=0, dtype=np.float64) * (language_id._SCALE / len(f))) / 1.3)
+    assert np.allclose(model.scores(f), want)
+
+
 def test_temperature_calibrates():
     rng = np.random.default_rng(1)
     logits = rng.normal(size=(4000, 3))
