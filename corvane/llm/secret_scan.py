@@ -2,14 +2,15 @@
 
 A byte-pair vocabulary learnt on ordinary text spends few tokens on words and many on random characters. A run of
 key-like characters that gets few characters per token is so a random string. Known digests and identifiers
-look random too, and are left out first: hex runs as long as a common digest, UUIDs, and names that are
-words and short numbers joined by punctuation or case.
+look random too, and are left out first: hex runs as long as a common digest, UUIDs, numbers and dates, and names
+of three or more short parts joined by punctuation, each of them a word with at most a short number.
+
+A run has 16 characters at least. Letters in one case alone, which may be a long word, need 20 and a lower ratio.
 """
 
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -28,47 +29,54 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 #: Holds every match of the patterns above but the first, and every candidate of the method.
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{20,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{16,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 #: Hex digits of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
 _DIGEST_DIGITS = {32, 40, 56, 64, 96, 128}
 _ALL_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-#: A part of a name: a word in one case or capitalised, or a short number.
-_NAME = re.compile(r"([A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]{1,4}|[+/_=-]+)+")
-_DIGIT_RUNS = re.compile(r"[0-9]+")
-_CASE_RUNS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_JOINER = re.compile(r"[+/_=-]+")
+#: A part of a joined name: a word in one case or capitalised with at most a short number, or a number.
+_PART = re.compile(r"([A-Z]?[a-z]+|[A-Z]+)([0-9]{1,4}[a-z]?)?|[0-9]{1,8}")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Characters of a run at least, and of a run of letters in one case.
+MIN_LENGTH, MIN_WORD = 16, 20
+#: What a run of letters in one case is allowed of the ratio.
+WORD_SHARE = 0.95
 
 
 def known(run: str) -> bool:
-    """Whether a run is a digest or an identifier."""
+    """Whether a run is a digest, a number or an identifier."""
     if _ALL_HEX.fullmatch(run) and len(run) in _DIGEST_DIGITS or _UUID.fullmatch(run):
         return True
-    if run.isalpha() or not any(c.isdigit() for c in run):
-        # letters and joiners: a name, if its parts are few for its length
-        parts = _CASE_RUNS.findall(run)
-        return 3 * len(parts) <= len(run)
-    if run.replace("-", "").replace("_", "").replace("/", "").replace("=", "").replace("+", "").isdigit():
+    parts = [x for x in _JOINER.split(run) if x]
+    if all(x.isdigit() for x in parts):
         return True
-    return bool(_NAME.fullmatch(run)) and 4 * len(_CASE_RUNS.findall(run)) <= len(run)
+    return len(parts) >= 3 and len(run) <= 12 * len(parts) and all(map(_PART.fullmatch, parts))
 
 
 class Scanner:
     """``scan(text)`` gives (start, kind, end) with kind as an index of KINDS, in order; positions are code points."""
 
-    def __init__(self, ranks_path: str, max_ratio: float, min_length: int = 20):
+    def __init__(self, ranks_path: str, max_ratio: float):
         import public_tokenizers
         import tiktoken
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.max_ratio, self.min_length = max_ratio, min_length
+        self.max_ratio = max_ratio
 
     def ratio(self, run: str) -> float:
         """Characters per token."""
         return len(run) / max(1, len(self._encoding.encode_ordinary(run)))
 
+    def random(self, run: str) -> bool:
+        """Whether a run of key-like characters is a random string."""
+        if _WORD.fullmatch(run):
+            return len(run) >= MIN_WORD and self.ratio(run) <= self.max_ratio * WORD_SHARE
+        return len(run) >= MIN_LENGTH and not known(run) and self.ratio(run) <= self.max_ratio
+
     def scan(self, text: str) -> list[tuple[int, int, int]]:
         found = []
         low = text.encode("utf-8", "surrogatepass").lower()
@@ -79,11 +87,7 @@ class Scanner:
             if "AKIA" in run:
                 found += [(at + x.start(), 1, at + x.end()) for x in _ACCESS.finditer(run) if len(x[0]) >= 20]
             found += [(at + x.start(), 2, at + x.end()) for x in _HEX.finditer(run)]
-            if run.isalpha() and (run.islower() or run[1:].islower()):
-                continue
-            for x in _CANDIDATE.finditer(run):
-                if len(x[0]) >= self.min_length and not known(x[0]) and self.ratio(x[0]) <= self.max_ratio:
-                    found.append((at + x.start(), 3, at + x.end()))
+            found += [(at + x.start(), 3, at + x.end()) for x in _CANDIDATE.finditer(run) if self.random(x[0])]
         return sorted(found)
 
 
@@ -128,33 +132,47 @@ def find_secrets(docs: DataFrame, *, text: str = "text", max_ratio: float = 2.0,
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)], F.col("spans").alias(into))
 
 
-def redact(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
-    """The documents with each secret (overlapping spans as one) replaced by ``[secret]``; all rows and columns stay."""
-    spans, t = common.hidden(docs, "spans", "redacted")
-    found = find_secrets(docs, text=text, into=spans, **options)
-    body = F.col(text).cast("string")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+def masked(text: str, spans: list[tuple[int, int, int]], mask: str = "[secret]") -> str:
+    """The text with each span replaced, overlapping ones as one; in one pass."""
+    out, at = [], 0
+    for start, _, end in spans:
+        if start >= at:
+            out += [text[at:start], mask]
+        at = max(at, end)
+    return "".join([*out, text[at:]]) if out else text
+
+
+def _masked_texts(path: str, max_ratio: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = scanner(path, max_ratio).scan
+        for batch in batches:
+            at = batch.num_columns - 1
+            out = [t and masked(t, scan(t)) for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(out, pa.string())], batch.schema.names)
 
-    def step(acc, s):
-        gap = F.substring(body, (acc["at"] + 1).cast("int"), F.greatest(F.lit(0), s["start"] - acc["at"]).cast("int"))
-        joins = s["start"] < acc["at"]  # overlaps the one before
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(joins, acc["out"]).otherwise(F.concat(acc["out"], gap, F.lit("[secret]"))).alias("out"))
+    return run
 
-    cut = F.aggregate(F.col(spans), start, step, lambda acc: F.concat(acc["out"], F.substring(body, (acc["at"] + 1).cast("int"), F.length(body))))
-    found = found.withColumn(t, F.when(F.size(spans) == 0, body).otherwise(cut))
-    return found.select(*[F.col(t).cast(docs.schema[c].dataType).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
+def redact(docs: DataFrame, *, text: str = "text", max_ratio: float = 2.0, ranks: str | None = None) -> DataFrame:
+    """The documents with each secret (overlapping spans as one) replaced by ``[secret]``; all rows and columns stay.
 
-def digest(spans: list[tuple[int, int, int]]) -> tuple[int, int, int, str, str]:
-    """Counts of the patterns' kinds, sha256 of their spans as text, and all spans as text."""
-    say = lambda x: f"{KINDS[x[1]]}:{x[0]}:{x[2]}"
-    base = [x for x in spans if x[1] < 3]
-    counts = [sum(x[1] == k for x in base) for k in range(3)]
-    return *counts, hashlib.sha256(",".join(map(say, base)).encode()).hexdigest(), ",".join(map(say, spans))
+    Null text stays null, empty stays empty. Repeated rows and nulls elsewhere pass through, clashing names don't matter.
+    Very long texts: whole, in one worker, in time in proportion to them. Empty table: no rows.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.withColumn(*common.hidden(docs, "secret_text"), F.col(f"`{text}`").cast("string")).toDF(*names, "t")
+    at = docs.columns.index(text)
+    rows = rows.drop(names[at])
+    out = common.arrow_map(rows, _masked_texts(ranks or tokenizer_path("byte_bpe_50k.tiktoken"), max_ratio), rows.schema)
+    return out.select(*[(F.col("t").cast(docs.schema[i].dataType) if i == at else F.col(n)).alias(docs.columns[i]) for i, n in enumerate(names)])
 
 
 def secrets(spark: SparkSession, docs: DataFrame, *, max_ratio: float = 2.0) -> DataFrame:
-    """A row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans (text), n_random."""
+    """A row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans (text), n_random.
+
+    Null or empty text: no spans. Null doc_id and repeated rows: a row each. Spans of different kinds may overlap; ties of
+    start go by kind as listed. Very long texts: read whole, in one worker. Empty table: no rows. Other columns are ignored.
+    """
     rows = find_secrets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), max_ratio=max_ratio).select("doc_id", "spans")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     say = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))

@@ -1,9 +1,12 @@
 """Each operator against the library it imitates or a plain version, over awkward rows."""
 
 import array
+import base64
 import hashlib
+import itertools
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -155,7 +158,82 @@ def test_secrets(spark, texts, empty):
 
 @pytest.mark.parametrize("run", ["d41d8cd98f00b204e9800998ecf8427e", "123e4567-e89b-12d3-a456-426614174000", "thisIsAVeryLongCamelCaseIdentifier", "path/to/some/module_name", "2024-01-02-10-20-30-4567"])
 def test_known_strings_are_no_secrets(run):
-    assert secret_scan.known(run)
+    assert not scanner().random(run)
+
+
+def scanner():
+    return secret_scan.scanner(piece_cache.tokenizer_path("byte_bpe_50k.tiktoken"), 2.0)
+
+
+def plain_random(text):
+    """Random strings of a text by the rules as the module states them, from the library's own counts of tokens."""
+    import tiktoken
+
+    with open(piece_cache.tokenizer_path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    import public_tokenizers
+
+    encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    out, key = [], set(string.ascii_letters + string.digits + "+/_=-")
+    at = 0
+    for keylike, run in itertools.groupby(text, key.__contains__):
+        run = "".join(run)
+        start, at = at, at + len(run)
+        if not keylike or len(run) < 16:
+            continue
+        ratio = len(run) / len(encoding.encode_ordinary(run))
+        if run.isalpha() and (run.islower() or run.isupper() or run[1:].islower()):
+            if len(run) >= 20 and ratio <= 1.9:
+                out.append((start, at))
+            continue
+        parts = [x for x in re.sub("[+/_=-]", " ", run).split(" ") if x]
+        one_case = run in (run.lower(), run.upper())
+        if one_case and set(run.lower()) <= set("0123456789abcdef") and len(run) in (32, 40, 56, 64, 96, 128):
+            continue
+        if [len(x) for x in run.split("-")] == [8, 4, 4, 4, 12] and set(run.lower()) <= set("0123456789abcdef-"):
+            continue
+        if all(x.isdigit() for x in parts):
+            continue
+        named = [re.match(r"(([A-Z]?[a-z]+)|[A-Z]+)([0-9]{1,4}[a-z]?)?$|[0-9]{1,8}$", x) for x in parts]
+        if len(parts) >= 3 and len(run) <= 12 * len(parts) and all(named):
+            continue
+        if ratio <= 2.0:
+            out.append((start, at))
+    return out
+
+
+ALPHABETS = {"base62": string.ascii_letters + string.digits, "lower and digits": string.ascii_lowercase + string.digits, "base32": string.ascii_uppercase + "234567", "letters": string.ascii_letters, "lower": string.ascii_lowercase, "upper": string.ascii_uppercase, "base64url": string.ascii_letters + string.digits + "-_"}
+
+
+def test_random_strings_by_brute_force(spark):
+    rng = random.Random(8)
+    names = "some_long_snake_case_name path/to/some/module_name kubernetes-io-ingress-nginx-v1-beta2 2024-01-02-10-20-30 ABC-123-DEF-456-GHI Donaudampfschifffahrtsgesellschaft 12345678901234567890".split()
+    texts = []
+    for _ in range(60):
+        runs = ["".join(rng.choice(ALPHABETS[rng.choice([*ALPHABETS])]) for _ in range(rng.choice([8, 15, 16, 19, 20, 24, 40, 64]))) for _ in range(12)]
+        runs += ["".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (24, 31, 32, 40)] + names
+        rng.shuffle(runs)
+        texts.append(" é, ".join(runs))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = 0
+    for r in secret_scan.find_secrets(df).collect():
+        got = [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "random"]
+        assert got == plain_random(texts[r["doc_id"]])
+        found += len(got)
+    assert found > 400 and not any(scanner().random(x) for x in names)
+
+
+@pytest.mark.parametrize("name", [*ALPHABETS])
+def test_recall_of_random_strings(name):
+    rng, one_case = random.Random(9), name in ("lower", "upper")
+    for n in (20, 24, 32, 48) if one_case else (16, 20, 24, 32, 48):
+        runs = ["".join(rng.choice(ALPHABETS[name]) for _ in range(n)) for _ in range(400)]
+        assert sum(map(scanner().random, runs)) >= 360
+
+
+def test_masking_joins_overlaps():
+    assert secret_scan.masked("abcdefgh", [(1, 0, 4), (2, 3, 5), (5, 0, 6)]) == "a[secret][secret]gh"
+    assert secret_scan.masked("abc", []) == "abc"
 
 
 def test_token_tables(spark, texts, empty):
