@@ -2,11 +2,15 @@
 
 A page is read into elements; each element subtree gets a hash of its tag, its class and id, its text and its children's hashes.
 Spark counts on how many different pages of a host each subtree occurs; those on many are the site's template
-(menus, notices, share bars) and are deleted, as are elements whose tag, role, class or id says that
-they aren't part of an article. What is left of the article (or main part, or body) is cut into blocks.
+(menus, notices, share bars) and are deleted, whatever their tags and names. Copies of one page count once. A recurring
+paragraph or heading of an article is content, so inside an article only containers are deleted for recurring.
 
-Copies of one page count once. A recurring paragraph or heading of an article is content, so inside an
-article only containers are deleted for recurring.
+HTML itself says of some elements that they are no part of an article: by tag or role (navigation, footers, forms,
+scripts), or by a class or id that means nothing else (``ad``, ``share-bar``, ``comment-list``). These go on any page,
+as most of them vary from page to page. A name decides on containers only, never on a text block, an article or a main
+part, and only as a whole: ``social-studies`` and ``related-work`` are no such names.
+
+What is left of the articles and main parts, the outermost ones, all of them, is cut into blocks; of the body if there are none.
 """
 
 from __future__ import annotations
@@ -23,8 +27,9 @@ from pyspark.sql import functions as F
 from . import common
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?![\w-])(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
-_WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
+#: An attribute and its value; read one after the other, so that nothing inside a value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 
 # Elements of HTML by their part in layout.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -37,19 +42,31 @@ CLOSES_P = BLOCKS - {"html", "body", "tbody", "tfoot", "thead", "tr", "caption"}
 #: A start tag that ends an open element of the same family, and where the search for it stops.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 #: Never part of an article.
-DROP_TAGS = set("head script style noscript template iframe object embed svg canvas math audio video map nav footer aside form button select option input textarea label dialog menu title link meta".split())
+DROP_TAGS = set("head script style noscript template iframe object embed svg canvas math audio video map nav footer aside form select option input textarea dialog menu title link meta".split())
+#: Parts of a form, unless they stand in a sentence.
+FORM_TAGS = {"button", "label"}
 DROP_ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-#: Words in a class or id that say the same.
+#: Words for what is no part of an article, and words that may stand beside them in a name.
 DROP_WORDS = set(
-    "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted sidebar sidebars aside nav navbar navigation menu menus breadcrumb breadcrumbs "
-    "footer masthead comment comments disqus reply replies respond cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login "
-    "social share sharing sharebar related recommended recommendations pagination pager toolbar copyright widget widgets search".split()
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs "
+    "footer masthead comment comments disqus reply replies cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login "
+    "social share sharing sharebar related recommended recommendations pagination pager toolbar copyright widget widgets".split()
 )
+SIDE_WORDS = set("area bar block box button buttons container content form group header inner item items left link links list main message panel post posts right section site top bottom wrap wrapper us on follow the my page".split())
 #: Only outside an article: an article's own header holds its heading.
 OUTER_WORDS = {"header", "topbar", "hero"}
 MAIN_TAGS = ("article", "main")
 
 
+def says(names: str, words: set[str]) -> bool:
+    """Whether one of the names (a class or id) means one of the words and nothing else."""
+    for name in names.split():
+        parts = {w.lower() for w in _WORDS.findall(name) if not w.isdigit()}
+        if not parts.isdisjoint(words) and parts <= words | SIDE_WORDS:
+            return True
+    return False
+
+
 class Page:
     """A page as a flat list of events: text, i for the start of element i, ~i for its end."""
 
@@ -70,18 +87,26 @@ class Page:
             self.events.append(text)
             self._parts[-1].append(" ".join(text.split()))
 
+    def _in_sentence(self) -> bool:
+        for i in reversed(self._stack):
+            if self.tags[i] in BLOCKS or self.tags[i] in CELLS:
+                return self.tags[i] in TEXT_BLOCKS
+        return False
+
     def _open(self, tag: str, attributes: str) -> int:
         i = len(self.tags)
-        names, drop = "", tag in DROP_TAGS
+        names, drop = "", tag in DROP_TAGS or tag in FORM_TAGS and not self._in_sentence()
         if attributes and not attributes.isspace():
-            found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-            names = f"{found.get('class', '')} {found.get('id', '')}"
+            found: dict[str, str] = {}
+            for m in _ATTRIBUTE.finditer(attributes):
+                found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")  # the first of a name counts
+            names, role = f"{found.get('class', '')} {found.get('id', '')}", found.get("role", "").lower()
             if tag not in ("html", "body", *MAIN_TAGS):
-                drop = drop or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower() or found.get("role", "").lower() in DROP_ROLES
-            if found.get("role", "").lower() in MAIN_TAGS and tag not in MAIN_TAGS:
-                tag = found["role"].lower()
-            elif tag not in ("html", "body", "main"):
-                drop = drop or not DROP_WORDS.isdisjoint(w.lower() for w in _WORDS.findall(names))
+                drop = drop or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower() or role in DROP_ROLES
+                if role in MAIN_TAGS:
+                    tag = role
+                elif tag in CONTAINERS or tag == "span":
+                    drop = drop or says(names, DROP_WORDS)
         self.tags.append(tag)
         self.names.append(names)
         self.drop.append(drop)
@@ -143,33 +168,29 @@ class Page:
     def text(self, template: set[int] = frozenset()) -> str:
         """Blocks of the main part, joined by an empty line."""
         n = len(self.tags)
-        inside, gone, sizes = [False] * n, [False] * n, [0] * n  # in an article or main; dropped with all below
+        inside, gone, full = [False] * n, [False] * n, [False] * n  # in an article or main; dropped with all below; with text
         for i in range(n):
             up, tag = self.parents[i], self.tags[i]
             inside[i] = tag in MAIN_TAGS or up >= 0 and inside[up]
-            drop = self.drop[i] or not inside[i] and (tag == "header" or not OUTER_WORDS.isdisjoint(w.lower() for w in _WORDS.findall(self.names[i])))
+            drop = self.drop[i] or not inside[i] and (tag == "header" or tag in CONTAINERS and says(self.names[i], OUTER_WORDS))
             h = self.hashes[i]
             if not drop and template and (h - (1 << 64) if h >> 63 else h) in template:
                 drop = tag not in ("html", "body", *MAIN_TAGS) and not (inside[i] and (tag in TEXT_BLOCKS or tag not in BLOCKS))
             gone[i] = drop or up >= 0 and gone[up]
         stack = []
-        for e in self.events:  # text of each element that stays
+        for e in self.events:
             if isinstance(e, str):
-                if stack and not gone[stack[-1]]:
-                    sizes[stack[-1]] += len(e)
+                if stack and not gone[stack[-1]] and not e.isspace():
+                    full[stack[-1]] = True
             elif e >= 0:
                 stack.append(e)
             else:
                 stack.pop()
         for i in range(n - 1, -1, -1):
-            if self.parents[i] >= 0:
-                sizes[self.parents[i]] += sizes[i]
-        root = -1
-        for tag in MAIN_TAGS:
-            found = [i for i in range(n) if self.tags[i] == tag and not gone[i] and sizes[i]]
-            if found:
-                root = max(found, key=lambda i: (sizes[i], -i))
-                break
+            if self.parents[i] >= 0 and full[i]:
+                full[self.parents[i]] = True
+        main = [self.tags[i] in MAIN_TAGS and not gone[i] and full[i] for i in range(n)]
+        whole = not any(main)
         blocks, now = [], []
 
         def end_block() -> None:
@@ -178,7 +199,7 @@ class Page:
                 blocks.append(block)
             now.clear()
 
-        stack, within = [], root < 0
+        stack, within = [], int(whole)  # how many of the open elements are main ones
         for e in self.events:
             if isinstance(e, str):
                 if within and not (stack and gone[stack[-1]]):
@@ -187,7 +208,7 @@ class Page:
             i = e if e >= 0 else ~e
             if e >= 0:
                 stack.append(i)
-                within = within or i == root
+                within += main[i]
             if within and not gone[i]:
                 if self.tags[i] in BLOCKS:
                     end_block()
@@ -195,8 +216,7 @@ class Page:
                     now.append(" ")
             if e < 0:
                 stack.pop()
-                if i == root:
-                    break
+                within -= main[i]
         end_block()
         return "\n\n".join(blocks)
 
@@ -232,7 +252,8 @@ def extract(spark: SparkSession, pages: DataFrame, **options) -> DataFrame:
     """A row per page: page_id, url, text, n_chars.
 
     Null or empty html: the empty text. Null url or one without a host: no template, the page's own marks only. Null page_id
-    and repeated rows: a row each. Empty table: no rows. Other columns are ignored.
+    and repeated rows: a row each, with the same text; copies of a page count once. Very long pages: read whole, in one worker.
+    A subtree on exactly ``min_pages`` pages is template. Empty table: no rows. Other columns are ignored, whatever their names.
     """
     host = F.lower(F.regexp_extract(F.col("url").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1))
     rows = pages.select(F.col("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), F.when(host != "", F.xxhash64(host)).alias("host_key"))

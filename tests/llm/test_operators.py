@@ -18,6 +18,7 @@ from corvane.llm import bpe_lexicon, common, html_text, jaccard_join, language_i
 from . import brute
 
 SF = "/root/testdata/sf0.001"
+WORDS = [f"word{i}" for i in range(400)]
 ODD = ["", None, " ", "a", "  two  spaces\n\n\tand tabs ", "x<|endoftext|> y", "I'll 're DON'T İstanbul ß ΑΣ", "naïve no-break em", "日本語テスト \U0001f600\U0001f600", "1234567 ½ ²", "\x00\x1c\x1d a", "b" * 5000, "word " * 4000, "same", "same"]
 
 
@@ -422,6 +423,77 @@ def test_html_text(spark):
     assert html_text.extract(spark, df.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "source,want",
+    [
+        ('<article><p title="A hidden gem">a</p><p data-hidden="false">b</p><div data-id="ad">c</div></article>', "a b c"),
+        ('<article><h2 id="related-work">a</h2><div class="social-studies">b</div></article>', "a b"),
+        ('<article class="post share-enabled"><p>a</p><div class="share-bar">x</div></article>', "a"),
+        ("<article><p>a</p></article><div>x</div><article><p>b</p></article>", "a b"),
+        ("<main><p>a</p><article><p>b</p></article><p>c</p></main><div>x</div>", "a b c"),
+        ("<main><p>Press <button>Go</button> or <label>this</label>.</p><div><button>x</button></div><form><p>x <label>x</label></p></form></main>", "Press Go or this."),
+        ('<div class="notice">x</div><div class="Comment-List"><p>x</p></div><div id="sidebar2">x</div><p class="notice">a</p>', "a"),
+        ("<p hidden>x</p><p style='display: none'>x</p><p style='color:red'>a", "a"),
+        ('<div role="main"><p>a</p></div><div role="navigation">x</div>', "a"),
+        ("<article></article><p>a</p>", "a"),
+    ],
+)
+def test_html_keeps_what_is_content(source, want):
+    assert html_text.Page(source).text().replace("\n\n", " ") == want
+
+
+def plain_template_texts(rows, many=5):
+    """{page: text} by the standard library's tree: subtrees by their source, counted by host, deleted, blocks joined."""
+    import collections
+    import xml.etree.ElementTree as ET
+
+    trees = {i: ET.fromstring(h) for i, _, h in rows}
+    host = {i: u.split("/")[2].lower() for i, u, _ in rows}
+    key = lambda e: ET.tostring(e, encoding="unicode").rsplit(">", 1)[0]
+    on = collections.defaultdict(set)
+    for i, t in trees.items():
+        for e in t.iter():
+            on[host[i], key(e)].add(ET.tostring(t))
+
+    def blocks(i, e, out):
+        if e.tag in ("div", "section", "p", "h1", "ul", "li") and len(on[host[i], key(e)]) >= many:
+            return
+        if e.tag in ("p", "h1", "li"):
+            out.append(" ".join("".join(e.itertext()).split()))
+            return
+        if (e.text or "").strip():
+            out.append(e.text.strip())
+        for c in e:
+            blocks(i, c, out)
+
+    texts = {}
+    for i, t in trees.items():
+        blocks(i, t, out := [])
+        texts[i] = "\n\n".join(x for x in out if x)
+    return texts
+
+
+def test_templates_by_a_plain_counter(spark):
+    """Menus, notices and side bars in divs without a name: only the counts by host can tell them."""
+    rng = random.Random(11)
+    words = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    rows = []
+    for h in range(6):
+        menu = f"<div><ul>{''.join(f'<li>{words(2)}</li>' for _ in range(4))}</ul></div>"
+        notices = [f"<section><p>{words(9)}</p></section>" for _ in range(3)]
+        for k in range((1, 3, 4, 5, 12, 40)[h]):
+            own = "".join(f"<p>{words(rng.randrange(3, 30))}</p>" for _ in range(rng.randrange(1, 5)))
+            side = f"<div><div><p>{words(3)}</p></div>{rng.choice(notices)}</div>"
+            rows.append((len(rows), f"http://Host{h}.example/{k}", f"<html><body>{menu}{rng.choice(notices)}<div><h1>{words(5)}</h1>{own}</div>{side}</body></html>"))
+    rows += [(len(rows) + i, u, t) for i, (_, u, t) in enumerate(rows[-9:])]  # copies count once
+    want = plain_template_texts(rows)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark, df).collect()}
+    assert got == want
+    without = {i: html_text.Page(h).text() for i, _, h in rows}
+    assert sum(without[i] != got[i] for i in got) >= 57  # all pages of the three larger hosts
+
+
 def test_html_tables_of_the_driver(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     import html as h
