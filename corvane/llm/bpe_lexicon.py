@@ -61,7 +61,11 @@ class Merger:
         self.bytes_of |= {i: c.encode() for c, i in self.added.items()}
         self.first = [vocab[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []  # by rank: the id of the merged pair
+        for rank, (a, b) in enumerate(pairs):
+            self.ranks[vocab[a], vocab[b]] = rank
+            self.made.append(vocab[a + b])
         self._merged: dict[str, list[int]] = {}
         self._whole = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
@@ -79,39 +83,42 @@ class Merger:
     def merge(self, token: str) -> list[int]:
         """Ids of one match of the pattern: merges by least rank, leftmost first."""
         ids = [self.first[b] for b in token.encode("utf-8")]
-        merges = self.merges
         if len(ids) > 40:
             return self._merge_long(ids)
-        while len(ids) > 1:
-            best, at = None, 0
-            for i in range(len(ids) - 1):
-                m = merges.get((ids[i], ids[i + 1]))
-                if m is not None and (best is None or m[0] < best[0]):
-                    best, at = m, i
-            if best is None:
+        rank_of, made, none = self.ranks.get, self.made, len(self.made)
+        ranks = [rank_of(pair, none) for pair in zip(ids, ids[1:])]  # of each id and the next
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            ids[at : at + 2] = [best[1]]
+            at = ranks.index(best)
+            ids[at : at + 2] = [made[best]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of((ids[at - 1], ids[at]), none)
+            if at < len(ranks):
+                ranks[at] = rank_of((ids[at], ids[at + 1]), none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap and links, for long tokens."""
-        n, merges = len(ids), self.merges
+        n, ranks, made = len(ids), self.ranks, self.made
         after, before, alive = [*range(1, n), -1], [-1, *range(n - 1)], [True] * n
-        heap = [(m[0], i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
+        heap = [(rank, i, ids[i], ids[i + 1]) for i in range(n - 1) if (rank := ranks.get((ids[i], ids[i + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if not alive[i] or j < 0 or ids[i] != a or ids[j] != b:
                 continue
-            ids[i] = merges[a, b][1]
+            ids[i] = made[rank]
             alive[j] = False
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y >= 0 and (m := merges.get((ids[x], ids[y]))):
-                    heapq.heappush(heap, (m[0], x, ids[x], ids[y]))
+                if x >= 0 and y >= 0 and (rank := ranks.get((ids[x], ids[y]))) is not None:
+                    heapq.heappush(heap, (rank, x, ids[x], ids[y]))
         return [x for x, live in zip(ids, alive, strict=True) if live]
 
     def word(self, text: str) -> list[int]:
@@ -129,6 +136,10 @@ class Merger:
             out += ids
         return out
 
+    def text(self, ids: Iterable[int]) -> str:
+        """The text of ids; bytes that are no UTF-8 become U+FFFD."""
+        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+
 
 def words_of(text: str) -> list[str]:
     """The text cut where no token can cross; whole if it has white space that patterns may see differently."""
@@ -283,36 +294,68 @@ class Codec:
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
-        return b"".join(map(self.merger.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+        return self.merger.text(ids)
 
 
 _codecs: dict[tuple, Codec] = {}
+_mergers: dict[str, Merger] = {}
+
+
+def merger(path: str) -> Merger:
+    """One for each tokenizer in a Python worker; the last few stay."""
+    if path not in _mergers:
+        while len(_mergers) >= 2:
+            _mergers.pop(next(iter(_mergers)))
+        _mergers[path] = Merger(path)
+    return _mergers[path]
 
 
 def codec(path: str, file: str | None) -> Codec:
     """One for each tokenizer and lexicon in a Python worker."""
     if (path, file) not in _codecs:
         _codecs.clear()
-        _codecs[path, file] = Codec(Merger(path), Lexicon(SparkFiles.get(file)) if file else None)
+        _codecs[path, file] = Codec(merger(path), Lexicon(SparkFiles.get(file)) if file else None)
     return _codecs[path, file]
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[str] = Counter()
-    rows = lambda: pa.record_batch([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
-    for batch in batches:
-        for text in common.texts_of(batch.column(0)):
-            counts.update(words_of(text))
-        if len(counts) > 200_000:
-            yield rows()
-            counts.clear()
-    yield rows()
+def frequent(counts: Counter[str], most: int) -> None:
+    """Bring a summary of counts down to ``most`` words: each loses the largest count that is left out.
+
+    So a word's count is too low by at most what was taken from it, which is at most the words seen divided by ``most``.
+    """
+    if len(counts) > most:
+        cut = sorted(counts.values(), reverse=True)[most]
+        for word in [w for w, n in counts.items() if n <= cut]:
+            del counts[word]
+        for word in counts:
+            counts[word] -= cut
+
+
+def _word_counts(most: int):
+    """A bounded summary of a task's words; words seen once are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for text in common.texts_of(batch.column(0)):
+                counts.update(words_of(text))
+            if len(counts) > 4 * most:
+                frequent(counts, most)
+        frequent(counts, most)
+        kept = [(w, n) for w, n in counts.items() if n > 1 and len(w) <= 48]
+        yield pa.record_batch([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
+
+    return run
 
 
 def build_lexicon(spark: SparkSession, docs: DataFrame, *, tokenizer: str, text: str = "text", words: int = 50_000) -> str | None:
-    """Count words of all documents, compile the ``words`` most frequent of up to 48 characters, and hand the file to all executors."""
-    counted = common.arrow_map(docs.select(F.col(text).cast("string").alias("text")), _word_counts, "word string, n long").filter(F.length("word") <= 48)
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1").orderBy(F.desc("n"), "word").limit(words)
+    """Count words of all documents, compile the most frequent ones of up to 48 characters, and hand the file to all executors.
+
+    Each task sends a summary of at most twice ``words``, however much text it has read. Which words are in the lexicon
+    changes the time that encoding takes, and no result.
+    """
+    counted = common.arrow_map(docs.select(F.col(f"`{text}`").cast("string").alias("text")), _word_counts(2 * words), "word string, n long")
+    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words)
     found = top.select("word").toArrow().column(0).to_pylist()
     if not found:
         return None
@@ -339,7 +382,8 @@ def encode(spark: SparkSession, docs: DataFrame, *, tokenizer: str | None = None
     """doc_id and ids (array of int) of each document's whole text, without special tokens added.
 
     Null or empty text: no ids. Added tokens in a text are single ids, as the tokenizers library has it. Null doc_id and
-    repeated rows pass through. Empty table: no rows. Other columns are ignored.
+    repeated rows pass through. Ties of rank merge leftmost first. Very long texts: read whole, by one worker; a word
+    of any length merges in time near to its length. Empty table: no rows. Other columns are ignored, whatever their names.
     """
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
     file = build_lexicon(spark, docs, tokenizer=path, words=words)
@@ -349,11 +393,11 @@ def encode(spark: SparkSession, docs: DataFrame, *, tokenizer: str | None = None
 
 def _decoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, None) if not _codecs else next(iter(_codecs.values()))
+        to_text = merger(path).text
         for batch in batches:
             lists = batch.column(1)
             flat, ends = lists.flatten().to_numpy(zero_copy_only=False).tolist(), np.cumsum([0, *lists.value_lengths().fill_null(0).to_pylist()]).tolist()
-            texts = [c.decode(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+            texts = [to_text(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
     return run
@@ -366,7 +410,7 @@ def decode(encoded: DataFrame, *, tokenizer: str | None = None) -> DataFrame:
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """A row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    """A row per document: doc_id, n_tokens, ids_sha256, decoded_sha256. Awkward rows: as ``encode`` states."""
     rows = decode(encode(spark, docs, **options))
     said = F.array_join(F.col("ids").cast("array<string>"), ",")
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(said, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

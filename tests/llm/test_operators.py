@@ -396,6 +396,40 @@ def test_bpe_round_trip(spark, texts, empty):
     assert bpe_lexicon.round_trip(spark, empty).count() == 0
 
 
+def test_decoding_uses_the_named_tokenizer(spark, tmp_path):
+    """After an encode with one tokenizer, a decode with another one reads that one's vocabulary."""
+    import json
+
+    path = piece_cache.tokenizer_path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocab = spec["model"]["vocab"]
+    a, b = vocab["a"], vocab["b"]
+    vocab["a"], vocab["b"] = b, a
+    other = str(tmp_path / "other.json")
+    with open(other, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    ids = bpe_lexicon.encode(spark, spark.createDataFrame([(1, "a b xa")], "doc_id long, text string"))
+    stored, _ = common.stored(spark, ids, "test-ids")
+    assert bpe_lexicon.decode(stored).first()["decoded"] == "a b xa"
+    assert bpe_lexicon.decode(stored, tokenizer=other).first()["decoded"][0] == "b"
+
+
+def test_summary_of_words_keeps_the_frequent():
+    from collections import Counter
+
+    rng = random.Random(3)
+    counts, true = Counter(), Counter()
+    for _ in range(30):
+        words = [f"w{int(rng.paretovariate(0.7))}" for _ in range(500)]
+        counts.update(words)
+        true.update(words)
+        if len(counts) > 200:
+            bpe_lexicon.frequent(counts, 50)
+    assert all(true[w] - sum(true.values()) / 50 <= n <= true[w] for w, n in counts.items())
+    assert all(w in counts for w, n in true.items() if n > sum(true.values()) / 50)
+
+
 def test_lexicon_is_minimal_and_exact(tmp_path):
     merger = bpe_lexicon.Merger(piece_cache.tokenizer_path("byte_bpe_50k.json"))
     words = ["testing", "resting", "tests", "rest", " é", "a", "ab", "abc", "xbc"]
