@@ -18,18 +18,31 @@ from pyspark.sql import types as T
 
 #: Rows per Arrow batch handed to Python. Texts have no length bound, so batches stay short.
 BATCH_ROWS = 512
+#: Bytes of a batch that an operator works on, unless one row has more.
+BATCH_BYTES = 16 << 20
 
 #: White space as the word contracts have it: [\x20\x09-\x0D].
 SPACE = " \t-\r"
 
 
+_local_base: dict[str, str] = {}
+
+
 def shared_base(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``; set to a temporary one only where unset."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``.
+
+    Where it is unset, a temporary folder serves a local master, whose executor is this machine; any other master is an
+    error, as each executor would write to a disk of its own.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="corvane-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local_base:
+        _local_base[app] = "file://" + tempfile.mkdtemp(prefix="corvane-shared-")
+    return _local_base[app]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -61,13 +74,30 @@ def remove(spark: SparkSession, *paths: str) -> None:
 
 
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower the rows of an Arrow batch, so that a batch of long texts fits in a Python worker."""
+    """Lower the rows of an Arrow batch, so that a batch of usual texts fits in a Python worker many times.
+
+    A plan reads this setting when it runs, so it stays lowered for the session; results don't depend on it. Spark bounds the
+    bytes of a batch as well (``spark.sql.execution.arrow.maxBytesPerBatch``), and ``pieces`` those that are worked on at once.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
 
 
+def pieces(batches: Iterable[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where one has more than ``most`` bytes and several rows."""
+    for batch in batches:
+        todo = [batch]
+        while todo:
+            part = todo.pop()
+            if part.num_rows > 1 and part.nbytes > most:
+                half = part.num_rows // 2
+                todo += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let executors import this package wherever the driver found it; once for each Spark context."""
     sc = spark.sparkContext
@@ -91,7 +121,7 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[p
     ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from fn(batches)
+        yield from fn(pieces(batches))
         trim()
 
     return df.mapInArrow(run, schema)

@@ -27,7 +27,7 @@ def radix_groups(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id"
 
     Texts are equal when identical. Of equal texts the row with the largest doc_id stays; of rows that also share
     that doc_id (or have none: null is lowest) exactly one stays. A null text counts as empty. An empty table gives no rows.
-    Columns that aren't named in ``payload`` are ignored; those named keep clear of the results inside their struct.
+    Very long texts: read in chunks of up to 1 MB a round. Columns that aren't named in ``payload`` are ignored; those named keep clear of the results inside their struct.
     """
     raw = F.col(text_col).cast("string")
     extra = F.struct(*[F.col(f"`{c}`") for c in payload]) if payload else F.lit(None).cast("struct<none:int>")
@@ -82,7 +82,12 @@ def radix_groups(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id"
 
 
 def dedup(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, one row of each group of equal texts, with all their columns."""
+    """The documents, one row of each group of equal texts, with all their columns.
+
+    The row with the largest id stays, one without an id only if no row of the group has one; of rows with that id exactly one.
+    A null text equals an empty one; the row that stays keeps its own. Very long texts: compared whole, chunk by chunk, only
+    where they share all bytes so far. Empty table: no rows. Columns of any name pass through.
+    """
     rest = [c for c in docs.columns if c != text_col]
     kept = radix_groups(spark, docs, id_col=id_col, text_col=text_col, payload=rest, keep_text=True).filter("kept")
     return kept.select(*[F.col("text").cast(docs.schema[c].dataType).alias(c) if c == text_col else F.col("payload").getField(c).alias(c) for c in docs.columns])

@@ -66,11 +66,17 @@ def _repeat_words(words: Column) -> Column:
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The columns of ``docs`` that aren't called like a measurement, with the measurements."""
+    """The columns of ``docs`` with the measurements; a column that is called like one is an error.
+
+    Null or empty text: all measurements 0. Repeated rows and nulls elsewhere: measured row by row. Very long texts: whole, in
+    the JVM, with an array of their words. Empty table: no rows.
+    """
     names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_alpha_words")
     body, parts, words, lines = common.hidden(docs, "body", "parts", "words", "lines")
     df = docs.withColumn(body, F.coalesce(F.col(text).cast("string"), F.lit("")))
-    others = [c for c in docs.columns if c.lower() not in names]
+    others = docs.columns
+    if clash := [c for c in others if c.lower() in names]:
+        raise ValueError(f"there are columns {clash} already")
     df = df.select(*[F.col(f"`{c}`") for c in others], body, F.split(body, r"[ \t-\r]", -1).alias(parts))
     df = df.withColumn(words, F.array_remove(F.col(parts), ""))
     df = df.withColumn(lines, F.filter(F.split(body, "\n", -1), lambda x: x.rlike(r"[^ \t-\r]")))
@@ -88,8 +94,10 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Measurements and ``fail_bits`` of each document; the other columns stay, but for those with these names."""
-    df = measure(docs.select(*[f"`{c}`" for c in docs.columns if c.lower() != "fail_bits"]), text)
+    """The documents with their measurements and ``fail_bits``; a column that is called so is an error. Awkward rows: as ``measure`` states."""
+    if "fail_bits" in (c.lower() for c in docs.columns):
+        raise ValueError("there is a column fail_bits already")
+    df = measure(docs, text)
     bits = F.lit(0).cast("long")
     for i, rule in enumerate(RULES):
         bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
@@ -118,7 +126,8 @@ def quality(docs: DataFrame) -> DataFrame:
     """A row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, fail_bits, n_lines, n_alpha_words.
 
     Null or empty text: no words, fails few_words. Null doc_id and repeated rows: measured row by row. Empty table: no rows.
-    Other columns are ignored.
+    Ties don't
+    arise. Very long texts: measured whole. Other columns are ignored, whatever their names.
     """
     df = ledger(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     base = F.col("fail_bits").bitwiseAND(F.lit(mask_of("base@1"))) != 0

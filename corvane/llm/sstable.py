@@ -249,8 +249,9 @@ def write_token_tables(spark: SparkSession, docs: DataFrame, base: str, *, token
     """
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text"))  # deals out rows that share one id
-    ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
+    # rows that share one id are dealt out by a hash of the text, equal ones by the task that read them
+    rows = rows.withColumns({"h": F.xxhash64("text"), "task": F.spark_partition_id()})
+    ordered = rows.repartitionByRange("doc_id", "h", "task").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     manifest = common.arrow_map(ordered, _write_shards(path, end_id, base, shard_bytes), "shard string, part int, seq int, n_docs long, n_ids long")
     shards, at = [], 0
     for r in sorted(manifest.collect(), key=lambda r: (r["part"], r["seq"])):
@@ -287,7 +288,9 @@ def token_tables(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """Write documents (doc_id, text) as token tables in the shared folder and read them back.
 
     Null or empty text: the end id alone. Null doc_id: a key of its own, before all others. Rows with one doc_id:
-    an entry each, ordered by a hash of the text. Empty table: no shards, no rows. Other columns are ignored.
+    an entry each, ordered by a hash of the text; equal rows in any order. Very long texts: an entry of their own size, in a
+    block and shard of their own where they exceed these. Empty table: no shards, no rows. Other columns are ignored, whatever
+    their names. A worker holds one shard (``shard_bytes``) and its keys at a time.
     """
     base = common.scratch(spark, "sst")
     return read_token_tables(spark, write_token_tables(spark, docs, base, **options))

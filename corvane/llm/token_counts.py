@@ -128,7 +128,9 @@ def _counted(path: str):
 def count_tokens(docs: DataFrame, *, model: str | None = None) -> DataFrame:
     """A row per document: doc_id, n_tokens of its whole text by the unigram model over the file's pieces and scores.
 
-    Null or empty text: 0. Null doc_id and repeated rows pass through. Empty table: no rows. Other columns are ignored.
+    Null or empty text: 0. Null doc_id and repeated rows pass through. Ties of score are decided as the library's
+    Unigram does. Very long texts: read whole, word by word, by one worker. Empty table: no rows. Other columns are
+    ignored, whatever their names.
     """
     path = model or tokenizer_path("piece_bpe_32k.model")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
