@@ -13,6 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,6 +124,10 @@ class Lowering:
             return a if a == b else None
         return None
 
+    def _literal_width(self, e: Expr) -> str | None:
+        widths = {self._width(x) for x in e.args if x.op == "literal"}
+        return widths.pop() if len(widths) == 1 and any(x.op == "field" for x in e.args) else None
+
     def _operands(self, e: Expr) -> list[Column]:
         """Operand columns; a variant takes the type of the other side."""
         cols = [self.expr(a) for a in e.args if isinstance(a, Expr)]
@@ -177,6 +182,11 @@ class Lowering:
             if width := self._width(e):
                 lo, hi = _WIDTHS.get(width, (-(2**63), 2**63 - 1))
                 out = F.when((out >= lo) & (out <= hi), out).when(out.isNotNull(), F.raise_error(F.lit(f"{width} overflow in {op}")).cast("long"))
+            elif (width := self._literal_width(e)) in _WIDTHS and all(_is(k, *_INTS) for k in kinds):
+                # a field's value has the literal's width if it fits in it, and then so must the result
+                lo, hi = _WIDTHS[width]
+                fit = (F.least(a, b) >= lo) & (F.greatest(a, b) <= hi)
+                out = F.when(fit & ((out < lo) | (out > hi)), F.raise_error(F.lit(f"{width} overflow in {op}")).cast("long")).otherwise(out)
             return out
         if op in ("eq", "neq", "lt", "lte", "gt", "gte"):
             if not self._comparable(cols):
@@ -224,7 +234,12 @@ class Lowering:
 
     def _regexp_match(self, e: Expr) -> Column:
         c = self._as_text(self.expr(e.args[0]))
-        return F.lit(False) if c is None else c.rlike(java_pattern(e.args[1], e.args[2]))
+        pattern = java_pattern(e.args[1], e.args[2])
+        try:
+            self.df.sparkSession._jvm.java.util.regex.Pattern.compile(pattern)
+        except Py4JJavaError as fault:
+            raise InvalidArgument(f"regexp: {fault.java_exception.getMessage()}") from None
+        return F.lit(False) if c is None else c.rlike(pattern)
 
     def _as_text(self, c: Column) -> Column | None:
         kind = self.type_of(c)
@@ -290,15 +305,13 @@ class Lowering:
 
     # text
 
-    def _tokens(self, name: str) -> Column:
-        """Analyzed tokens of a field: an exact field is one token, a list's elements are tokens as they are."""
+    def _tokens(self, name: str) -> text_functions.TokenField:
+        """Tokens of a field: an exact field is one token, a list's elements are tokens as they are."""
         index = self.source.schema.index(name)
         if index is None or index.kind not in ("keyword", "semantic"):
             raise InvalidArgument(f"Invalid query: field `{name}` has no keyword index")
-        c = F.col(f"`{name}`")
-        if _is(self.source.df.schema[name].dataType, T.ArrayType):
-            return c
-        return F.when(c.isNotNull(), F.array(c)) if index.exact else text_functions.tokens(c)
+        listed = _is(self.source.df.schema[name].dataType, T.ArrayType)
+        return text_functions.TokenField(F.col(f"`{name}`"), "list" if listed else "whole" if index.exact else "text")
 
     def _terms(self, name: str, text: str) -> list[str]:
         index = self.source.schema.index(name)
@@ -319,8 +332,7 @@ class Lowering:
             raise InvalidArgument("match_all and match_any take a text or a list of tokens")
         if not terms:
             return F.lit(False)
-        asked = F.array(*[F.lit(t) for t in dict.fromkeys(terms)])
-        return F.coalesce(F.size(F.array_except(asked, toks)) == 0 if every else F.arrays_overlap(asked, toks), F.lit(False))
+        return toks.every(terms) if every else toks.some(terms)
 
     def _match_all(self, e: Expr) -> Column:
         return self._match_logical(e, True)
@@ -344,9 +356,8 @@ class Lowering:
         out = F.lit(False)
         for name, terms in self._leaf_terms(t):
             if terms:
-                asked = F.array(*[F.lit(x) for x in dict.fromkeys(w for w, _ in terms)])
-                toks = self._tokens(name)
-                out = out | F.coalesce(F.size(F.array_except(asked, toks)) == 0 if t.all else F.arrays_overlap(asked, toks), F.lit(False))
+                toks, asked = self._tokens(name), [w for w, _ in terms]
+                out = out | (toks.every(asked) if t.all else toks.some(asked))
         return out
 
     def _text_statistics(self, wanted: dict[str, set[str]]) -> dict[str, tuple[int, float, dict[str, int]]]:
@@ -361,8 +372,8 @@ class Lowering:
             aggs = []
             for k, (name, terms) in enumerate(todo.items()):
                 toks = self._tokens(name)
-                aggs += [F.count(toks).alias(f"n{k}"), F.avg(F.size(toks).cast("double")).alias(f"a{k}")]
-                aggs += [F.sum(F.coalesce(F.array_contains(toks, F.lit(t)), F.lit(False)).cast("long")).alias(f"d{k}_{i}") for i, t in enumerate(terms)]
+                aggs += [F.count(toks.column).alias(f"n{k}"), F.avg(toks.length().cast("double")).alias(f"a{k}")]
+                aggs += [F.sum(toks.has(t).cast("long")).alias(f"d{k}_{i}") for i, t in enumerate(terms)]
             row = self.source.df.agg(*aggs).first()
             for k, (name, terms) in enumerate(todo.items()):
                 old = known.get(name, (0, 0.0, {}))[2]
@@ -379,9 +390,9 @@ class Lowering:
         for name, terms in leaves:
             toks = self._tokens(name)
             n, average, df = stats[name]
+            length = F.coalesce(toks.length(), F.lit(0))
             for term, weight in terms:
-                part = text_functions.bm25_term(text_functions.term_frequency(toks, term), F.size(toks), weight, text_functions.idf(n, df.get(term, 0)), average, b, k1)
-                score = score + F.coalesce(part, F.lit(0.0))
+                score = score + text_functions.bm25_term(toks.frequency(term), length, weight, text_functions.idf(n, df.get(term, 0)), average, b, k1)
         return score.cast("float")
 
     # scores
@@ -586,22 +597,77 @@ def variant_as(c: Column, kind: T.DataType) -> Column:
     return F.try_variant_get(c, "$", kind.simpleString())
 
 
-_BACK = re.compile(r"(?<!\\)(?:\\\\)*(?:\\[1-9]|\\k<|\(\?=|\(\?!|\(\?<=|\(\?<!|\(\?>)|[*+?}]\+")
+#: POSIX classes as members of a class.
+_POSIX = {
+    "alnum": "0-9A-Za-z", "alpha": "A-Za-z", "ascii": r"\x00-\x7F", "blank": r"\t ", "cntrl": r"\x00-\x1F\x7F", "digit": "0-9", "graph": "!-~", "lower": "a-z", "print": " -~",
+    "punct": r"!-/:-@\[-`{-~", "space": r"\t\n\x0B\f\r ", "upper": "A-Z", "word": "0-9A-Za-z_", "xdigit": "0-9A-Fa-f",
+}
 
 
 def java_pattern(pattern: str, flags: str) -> str:
-    """A pattern without what a linear-time engine lacks, with its flags (i, m, s, x, u) inline."""
-    if _BACK.search(pattern):
-        raise InvalidArgument("regexp: back references, look-around and possessive forms are not supported")
-    if bad := set(flags) - set("imsxuU"):
+    """A pattern of a linear-time engine, with its flags (i, m, s, x, u), as a Java pattern.
+
+    Classes, word boundaries and case are Unicode's, only a newline ends a line, and ``$`` is the very end unless lines are
+    anchored. What such an engine lacks (back references, look-around, atomic and possessive forms) is refused. Escapes
+    and classes are read as such: ``[*+]`` and ``C\\++`` hold no possessive form. Groups lose their names, as nothing refers to them.
+    """
+    if bad := set(flags) - set("imsxu"):
         raise InvalidArgument(f"regexp: unknown flags {''.join(sorted(bad))}")
-    try:
-        re.compile(re.sub(r"\\[pP]\{\w+\}|\\[pP]\w|\\z|\[\[:\w+:\]\]", "x", pattern))
-    except re.error as e:
-        if "bad escape" not in str(e):
-            raise InvalidArgument(f"regexp: {e}") from None
-    inline = "".join(sorted(set(flags) - {"U"}))
-    return (f"(?{inline})" if inline else "") + pattern
+    refuse = InvalidArgument("regexp: back references, look-around and possessive forms are not supported")
+    lines = "m" in flags or re.search(r"\(\?[a-z]*m", pattern) is not None
+    out, at, n, depth, repeated = [], 0, len(pattern), 0, False
+    while at < n:
+        c, was, repeated = pattern[at], repeated, False
+        if c == "\\":
+            if at + 1 == n:
+                raise InvalidArgument("regexp: a pattern cannot end with a backslash")
+            if not depth and (pattern[at + 1] in "123456789k"):
+                raise refuse
+            out.append(pattern[at : at + 2])
+            at += 2
+            continue
+        if c == "[":
+            if depth and (m := re.match(r"\[:(\^?)([a-z]+):\]", pattern[at:])):
+                if m[2] not in _POSIX:
+                    raise InvalidArgument(f"regexp: unknown class {m[2]}")
+                out.append(f"[^{_POSIX[m[2]]}]" if m[1] else _POSIX[m[2]])
+                at += len(m[0])
+                continue
+            depth += 1
+            out.append(c)
+            at += 1
+            if pattern[at : at + 1] == "^":
+                out.append("^")
+                at += 1
+            if pattern[at : at + 1] == "]":  # the first one is a member
+                out.append("\\]")
+                at += 1
+            continue
+        if depth:
+            depth -= c == "]"
+            out.append(c)
+        elif c == "(" and pattern[at : at + 2] == "(?":
+            m = re.match(r"\(\?(?:P?<([A-Za-z_]\w*)>|([a-zA-Z]*)(?:-([a-zA-Z]+))?([:)]))", pattern[at:])
+            if m is None:
+                raise refuse
+            if m[1]:
+                out.append("(")
+            else:
+                if bad := set(m[2] + (m[3] or "")) - set("imsxu") or "u" in (m[3] or ""):
+                    raise InvalidArgument("regexp: unknown inline flags")
+                off = f"-{m[3]}" if m[3] else ""
+                out.append(f"(?{m[2].replace('u', '')}{off}{m[4]}")
+            at += len(m[0])
+            continue
+        elif c in "*+?" or c == "}":
+            if c == "+" and was:
+                raise refuse
+            out.append(c)
+            repeated = True
+        else:
+            out.append("\\z" if c == "$" and not lines else c)
+        at += 1
+    return f"(?dUu{''.join(sorted(set(flags) - {'u'}))})" + "".join(out)
 
 
 def run(source: Source, query: Query, *, every_row: bool = False) -> DataFrame:
