@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import InvalidArgument, SchemaError, Unsupported
+from ..errors import EngineError, InvalidArgument, SchemaError, Unsupported
 from ..operators.fusion import reciprocal_rank_fusion, sum_fusion
 from ..plans import builder as b
 from ..plans.ir import DenseVector, Query
 from ..plans.lower import Lowering, Source
 from ..sources import codec
-from ..sources.store import Collection
+from ..sources.store import Collection, merge
 from .compile import TRUE, Clause, Compiler, all_of, field_name
 
 MAX_WINDOW = 10_000
@@ -67,7 +67,10 @@ class Search:
             raise InvalidArgument("rrf needs a size above 0")
         if self.body.get("sort"):
             raise InvalidArgument("rrf cannot be combined with sort")
-        return int(o.get("rank_constant", RRF_CONSTANT)), int(o.get("rank_window_size", max(self.start + self.size, RRF_WINDOW)))
+        window = int(o.get("rank_window_size", max(self.start + self.size, RRF_WINDOW)))
+        if not 1 <= window <= MAX_WINDOW:
+            raise InvalidArgument(f"rank_window_size must be 1 to {MAX_WINDOW}")
+        return int(o.get("rank_constant", RRF_CONSTANT)), window
 
     # retrievers
 
@@ -115,12 +118,15 @@ class Search:
     # fusion
 
     def fused(self) -> DataFrame:
-        """Rows of all retrievers by id with one score."""
+        """Rows of all retrievers by id with one score; where the score alone sorts them, only those up to the page's end."""
         parts = self.retrievers()
         if self.rrf is None and len(parts) == 1:
             return parts[0]
         scores = sum_fusion(parts) if self.rrf is None else reciprocal_rank_fusion(parts, *self.rrf)
-        return self.source.df.join(scores, "_id")
+        if self.body.get("sort"):
+            return self.source.df.join(scores, "_id")
+        top = scores.orderBy(F.desc("_score"), "_id").limit(self.start + self.size)
+        return self.source.df.join(F.broadcast(top), "_id")  # MAX_WINDOW ids at most
 
     # sorting
 
@@ -297,7 +303,7 @@ def multi_search(pairs: Iterable[tuple[Collection, Mapping[str, Any]]]) -> dict[
     for c, request in pairs:
         try:
             out.append(search(c, request) | {"status": 200})
-        except Exception as e:  # noqa: BLE001
+        except EngineError as e:
             out.append({"error": {"reason": str(e)}, "status": 400})
     return {"responses": out}
 
@@ -324,37 +330,79 @@ def check_vectors(collection: Collection, doc: Mapping[str, Any]) -> None:
             raise SchemaError([f"`{name}`: cosine needs a vector that isn't zero"])
 
 
-def index_document(collection: Collection, doc_id: Any, doc: Mapping[str, Any]) -> dict[str, Any]:
+def _whole(collection: Collection, doc_id: Any, doc: Mapping[str, Any]) -> dict[str, Any]:
     check_vectors(collection, doc)
+    out = {"_id": str(doc_id)} | {k: codec.from_json(v) if k not in collection.schema.fields else v for k, v in doc.items()}
+    codec.encode(collection.schema, [out])
+    return out
+
+
+def index_document(collection: Collection, doc_id: Any, doc: Mapping[str, Any]) -> dict[str, Any]:
     existed = str(doc_id) in collection.get([str(doc_id)])
-    collection.upsert([{"_id": str(doc_id)} | {k: codec.from_json(v) if k not in collection.schema.fields else v for k, v in doc.items()}])
+    collection.upsert([_whole(collection, doc_id, doc)])
     return {"_id": str(doc_id), "result": "updated" if existed else "created"}
 
 
+def get_document(collection: Collection, doc_id: Any) -> dict[str, Any]:
+    """One document, or that it isn't there."""
+    return multi_get(collection, [doc_id])["docs"][0]
+
+
+def delete_document(collection: Collection, doc_id: Any) -> dict[str, Any]:
+    existed = str(doc_id) in collection.get([str(doc_id)])
+    if existed:
+        collection.delete([str(doc_id)])
+    return {"_id": str(doc_id), "result": "deleted" if existed else "not_found"}
+
+
+def refresh(collection: Collection) -> dict[str, Any]:
+    """Every search reads the newest commit, so there is nothing to wait for."""
+    collection.lsn()
+    return {"_shards": {"total": 1, "successful": 1, "failed": 0}}
+
+
 def bulk(collection: Collection, lines: Iterable[Mapping[str, Any]]) -> dict[str, Any]:
-    """Action lines and their documents in turn: index, update (with doc) and delete."""
-    items, it = [], iter(lines)
+    """Action lines and their documents in turn: index, update (with doc) and delete.
+
+    All is read once and written in one commit; an action sees what those before it did. A bad one is an error in its place.
+    """
+    actions, it = [], iter(lines)
     for action in it:
         kind, meta = next(iter(action.items()))
-        doc_id = meta.get("_id")
-        try:
-            if kind == "index":
-                items.append({kind: index_document(collection, doc_id, next(it)) | {"status": 200}})
-            elif kind == "update":
-                body = next(it)
-                if set(body) != {"doc"}:
-                    raise Unsupported("update with anything but doc")
-                lsn = collection.update([{"_id": str(doc_id)} | dict(body["doc"])])
-                items.append({kind: {"_id": str(doc_id), "result": "updated" if lsn else "not_found", "status": 200 if lsn else 404}})
-            elif kind == "delete":
-                existed = str(doc_id) in collection.get([str(doc_id)])
-                collection.delete([str(doc_id)])
-                items.append({kind: {"_id": str(doc_id), "result": "deleted" if existed else "not_found", "status": 200 if existed else 404}})
-            else:
-                if kind == "create":
-                    next(it)
-                raise Unsupported(f"bulk action `{kind}`")
-        except Exception as e:  # noqa: BLE001
-            items.append({kind: {"_id": doc_id, "error": {"reason": str(e)}, "status": 400}})
+        actions.append((kind, meta.get("_id"), next(it) if kind in ("index", "update", "create") else None))
+    items: list[dict[str, Any]] = []
+
+    def plan(found: dict[str, dict[str, Any]]) -> dict[str, dict[str, Any] | None]:
+        items.clear()
+        now: dict[str, dict[str, Any] | None] = dict(found)
+        changes: dict[str, dict[str, Any] | None] = {}
+        for kind, doc_id, body in actions:
+            key = str(doc_id)
+            old = now.get(key)
+            try:
+                if kind == "index":
+                    now[key] = changes[key] = _whole(collection, doc_id, body)
+                    result, status = "updated" if old is not None else "created", 200
+                elif kind == "update":
+                    if set(body) != {"doc"}:
+                        raise Unsupported("update with anything but doc")
+                    new = {"_id": key} | dict(body["doc"])
+                    codec.encode(collection.schema, [new], whole=False)
+                    result, status = ("updated", 200) if old is not None else ("not_found", 404)
+                    if old is not None:
+                        merged = merge(old, new)
+                        codec.encode(collection.schema, [merged])
+                        now[key] = changes[key] = merged
+                elif kind == "delete":
+                    result, status = ("deleted", 200) if old is not None else ("not_found", 404)
+                    if old is not None:
+                        now[key] = changes[key] = None
+                else:
+                    raise Unsupported(f"bulk action `{kind}`")
+                items.append({kind: {"_id": key, "result": result, "status": status}})
+            except EngineError as e:
+                items.append({kind: {"_id": doc_id, "error": {"reason": str(e)}, "status": 400}})
+        return changes
+
+    collection.change(plan, [str(i) for _, i, _ in actions])
     return {"errors": any("error" in next(iter(i.values())) for i in items), "items": items}
-

@@ -3,7 +3,9 @@
 A collection is a folder with its schema; each partition in it has a log of commits and a folder of rows for each commit.
 A commit takes the next sequence number by creating its log file, which only one writer can. The newest row of an id
 counts; deletions are rows too. Compaction writes a base in which ids are unique: it is scanned directly,
-with pushed filters and pruned columns, and only ids written since are looked up in the commits after it.
+with pushed filters and pruned columns, and only ids written since are looked up in the commits after it. A base
+says which number its snapshot was taken at, so what others commit meanwhile is read after it. A write that depends on
+what was read (a deletion by filter, an update) takes the number that follows the one it read, or reads again.
 """
 
 from __future__ import annotations
@@ -33,6 +35,19 @@ DEFAULT_PARTITION = "_default"
 MAX_NAME = 512
 
 
+def merge(old: Any, new: Any) -> Any:
+    """Fields of ``new`` put into ``old``, structs deeply; null removes a field."""
+    if isinstance(old, Mapping) and isinstance(new, Mapping):
+        out = dict(old)
+        for k, v in new.items():
+            if v is None:
+                out.pop(k, None)
+            else:
+                out[k] = merge(old.get(k), v)
+        return out
+    return new
+
+
 def _spec_from(d: Mapping[str, Any]) -> FieldSpec:
     index = d["index"] and Index(d["index"]["kind"], d["index"]["metric"], d["index"]["exact"], tuple(map(tuple, d["index"]["options"])))
     return FieldSpec(d["type"], d["dim"], d["element"], tuple((n, _spec_from(f)) for n, f in d["fields"]), d["is_required"], index)
@@ -101,37 +116,46 @@ class Collection:
         names = [n for n in self.store.files.list(f"{self.path}/log") if n.endswith(".json")]
         return int(names[-1][:-5]) if names else 0
 
-    def _commit(self, rows: DataFrame | None, kind: str) -> str:
-        """Write rows (without _lsn) and take the next number."""
+    def _commit(self, rows: DataFrame | None, kind: str, *, after: int | None = None, upto: int | None = None) -> str | None:
+        """Write rows (without _lsn) and take the next number; with ``after`` only the one that follows it, else None."""
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
         if rows is not None:
             rows.write.parquet(folder)
+        entry = {"kind": kind, "folder": rows is not None and folder} | ({} if upto is None else {"upto": upto})
         while True:
-            lsn = self.lsn() + 1
-            if self.store.files.create(f"{self.path}/log/{lsn:020d}.json", json.dumps({"lsn": lsn, "kind": kind, "folder": rows is not None and folder})):
+            lsn = self.lsn() + 1 if after is None else after + 1
+            if (after is None or self.lsn() == after) and self.store.files.create(f"{self.path}/log/{lsn:020d}.json", json.dumps({"lsn": lsn} | entry)):
                 self._statistics = (-1, {})
                 return str(lsn)
+            if after is not None:
+                self.store.files.delete(folder)
+                return None
 
     def _read(self, commits: list[dict[str, Any]]) -> DataFrame:
+        """The rows of commits with their numbers, in one scan."""
         kinds = T.StructType([f for f in self.row_type().fields if f.name != "_lsn"])
-        out = None
-        for c in commits:
-            if c["folder"]:
-                df = self.spark.read.schema(kinds).parquet(c["folder"]).withColumn("_lsn", F.lit(c["lsn"]).cast("long"))
-                out = df if out is None else out.unionByName(df)
-        names = [f.name for f in self.row_type().fields]
-        return self.spark.createDataFrame([], self.row_type()) if out is None else out.select(*[f"`{n}`" for n in names])
+        names = [F.col(f"`{f.name}`") for f in self.row_type().fields]
+        commits = [c for c in commits if c["folder"]]
+        if not commits:
+            return self.spark.createDataFrame([], self.row_type())
+        df = self.spark.read.schema(kinds).parquet(*[c["folder"] for c in commits])
+        if len(commits) == 1:
+            return df.withColumn("_lsn", F.lit(commits[0]["lsn"]).cast("long")).select(*names)
+        numbers = self.spark.createDataFrame([(c["folder"].rsplit("/", 1)[-1], c["lsn"]) for c in commits], "_folder string, _lsn long")
+        df = df.withColumn("_folder", F.regexp_extract(F.col("_metadata.file_path"), r"/data/([0-9a-f]{32})/", 1))
+        return df.join(F.broadcast(numbers), "_folder").select(*names)  # a row for each commit since the base
 
     def snapshot(self, upto: int | None = None) -> DataFrame:
         """The newest row of each id that isn't deleted."""
         commits = [c for c in self._commits() if upto is None or c["lsn"] <= upto]
-        start = max((i for i, c in enumerate(commits) if c["kind"] == "base"), default=None)
-        later = commits if start is None else commits[start + 1 :]
-        later = [c for c in later if c["folder"]]
-        if start is None:
+        bases = [c for c in commits if c["kind"] == "base"]
+        base = max(bases, key=lambda c: (c.get("upto", c["lsn"]), c["lsn"]), default=None)
+        start = 0 if base is None else base.get("upto", base["lsn"])
+        later = [c for c in commits if c["folder"] and c["kind"] != "base" and c["lsn"] > start]
+        if base is None:
             rows = newest(self._read(later))
         else:
-            rows = self._read([commits[start]])
+            rows = self._read([base])
             if later:
                 delta = newest(self._read(later))
                 rows = rows.join(delta.select("_id"), "_id", "left_anti").unionByName(delta)
@@ -153,17 +177,20 @@ class Collection:
             raise InvalidArgument("a write needs documents")
         return self._commit(self._frame(docs), "upsert")
 
-    def upsert_frame(self, df: DataFrame, *, unique: bool = False) -> str:
+    def upsert_frame(self, df: DataFrame, *, unique: bool = False, order: str | None = None) -> str:
         """The same from a DataFrame with ``_id``, in Spark; columns that aren't declared are stored as they are.
 
-        ``unique`` promises that no id repeats, in ``df`` or before: the first such write is a base at once.
+        ``unique`` promises that no id repeats, in ``df`` or before: the first such write is a base at once. Otherwise
+        the row with the largest ``order`` counts (ties: the larger by its other columns); without it a repeated id is an error.
         """
         known = [F.col(f"`{n}`").cast(f.spark_type()).alias(n) if n in df.columns else F.lit(None).cast(f.spark_type()).alias(n) for n, f in self.schema.fields.items()]
         rest = [c for c in df.columns if c not in self.schema.fields and c != "_id"]
+        if not unique and order is not None:
+            df = newest(df.withColumn("__order", F.struct(F.col(f"`{order}`"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))), version="__order").drop("__order")
+        elif not unique and df.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
+            raise InvalidArgument("an id repeats: name the column by which its newest row is known")
         extra = F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in rest])) if rest else F.parse_json(F.lit("{}"))
         rows = df.select(F.col("_id").cast("string").alias("_id"), F.lit(False).alias("_deleted"), *known, extra.alias("_extra"))
-        if not unique:
-            rows = rows.dropDuplicates(["_id"])
         return self._commit(rows, "base" if unique and self.lsn() == 0 else "upsert")
 
     def update(self, docs: Iterable[Mapping[str, Any]], fail_on_missing: bool = False) -> str:
@@ -172,27 +199,36 @@ class Collection:
         if not docs:
             raise InvalidArgument("a write needs documents")
         codec.encode(self.schema, docs, whole=False)
-        found = self.get([d["_id"] for d in docs])
-        missing = [d["_id"] for d in docs if d["_id"] not in found]
-        if missing and fail_on_missing:
-            raise NotFound(f"documents not found: {', '.join(missing)}")
-
-        def merge(old: Any, new: Any) -> Any:
-            if isinstance(old, Mapping) and isinstance(new, Mapping):
-                out = dict(old)
-                for k, v in new.items():
-                    if v is None:
-                        out.pop(k, None)
-                    else:
-                        out[k] = merge(old.get(k), v)
-                return out
-            return new
-
-        merged: dict[str, Any] = {}
-        for d in docs:
-            if d["_id"] in found:
-                merged[d["_id"]] = merge(merged.get(d["_id"], found[d["_id"]]), d)
-        return self._commit(self._frame(list(merged.values())), "update") if merged else ""
+        while True:
+            now = self.lsn()
+            found = self.get([d["_id"] for d in docs])
+            missing = [d["_id"] for d in docs if d["_id"] not in found]
+            if missing and fail_on_missing:
+                raise NotFound(f"documents not found: {', '.join(missing)}")
+            merged: dict[str, Any] = {}
+            for d in docs:
+                if d["_id"] in found:
+                    merged[d["_id"]] = merge(merged.get(d["_id"], found[d["_id"]]), d)
+            if not merged:
+                return ""
+            if lsn := self._commit(self._frame(list(merged.values())), "update", after=now):
+                return lsn
+
+    def change(self, plan: Callable[[dict[str, dict[str, Any]]], Mapping[str, Mapping[str, Any] | None]], ids: Iterable[str]) -> str:
+        """Replace or delete (None) documents as ``plan`` says from the documents there are, all in one commit."""
+        ids = list(dict.fromkeys(ids))
+        while True:
+            now = self.lsn()
+            changes = plan(self.get(ids))
+            if not changes:
+                return ""
+            docs, gone = [d for d in changes.values() if d is not None], [i for i, d in changes.items() if d is None]
+            rows = self._frame(docs) if docs else None
+            if gone:
+                marks = self._tombstones(self.spark.createDataFrame([(i,) for i in gone], "_id string"))
+                rows = marks if rows is None else rows.unionByName(marks)
+            if lsn := self._commit(rows, "change", after=now):
+                return lsn
 
     def _tombstones(self, ids: DataFrame) -> DataFrame:
         return ids.select("_id", F.lit(True).alias("_deleted"), *[F.lit(None).cast(f.spark_type()).alias(n) for n, f in self.schema.fields.items()], F.parse_json(F.lit("{}")).alias("_extra"))
@@ -200,17 +236,21 @@ class Collection:
     def delete(self, what: Iterable[str] | Expr) -> str:
         """By ids, or all that a predicate is true for now."""
         if isinstance(what, Expr):
-            low = Lowering(self.source(), Query().filter(what))
-            return self._commit(self._tombstones(low.df.filter(low.predicate(what)).select("_id")), "delete")
+            while True:
+                now = self.lsn()
+                low = Lowering(Source(self.snapshot(now), self.schema, self.encoder), Query().filter(what))
+                if lsn := self._commit(self._tombstones(low.df.filter(low.predicate(what)).select("_id")), "delete", after=now):
+                    return lsn
         ids = list(what)
         if not ids:
             raise InvalidArgument("a delete needs ids")
         return self._commit(self._tombstones(self.spark.createDataFrame([(i,) for i in ids], "_id string")), "delete")
 
     def compact(self) -> str:
-        """Write the snapshot as a new base; later reads scan it directly."""
-        rows = self.snapshot().withColumn("_deleted", F.lit(False))
-        return self._commit(rows.select(*[f"`{f.name}`" for f in self.row_type().fields if f.name != "_lsn"]), "base")
+        """Write the snapshot as a new base; later reads scan it directly, and what was committed after that snapshot."""
+        now = self.lsn()
+        rows = self.snapshot(now).withColumn("_deleted", F.lit(False))
+        return self._commit(rows.select(*[f"`{f.name}`" for f in self.row_type().fields if f.name != "_lsn"]), "base", upto=now)
 
     # reads
 
