@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -237,8 +237,8 @@ class Lowering:
         pattern = java_pattern(e.args[1], e.args[2])
         try:
             self.df.sparkSession._jvm.java.util.regex.Pattern.compile(pattern)
-        except Py4JJavaError as fault:
-            raise InvalidArgument(f"regexp: {fault.java_exception.getMessage()}") from None
+        except IllegalArgumentException as fault:
+            raise InvalidArgument(f"regexp: {fault}") from None
         return F.lit(False) if c is None else c.rlike(pattern)
 
     def _as_text(self, c: Column) -> Column | None:

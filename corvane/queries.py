@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import queries_more
 from .engine import run_select
 from .es.search import Search
 from .operators.latest import newest
@@ -325,6 +326,7 @@ def _registry() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str
         lambda spark, sf: versions(spark, sf).filter(~F.coalesce(F.col("event_type") == "error", F.lit(False))),
         f"SELECT user_id::VARCHAR AS _id, event_id AS _lsn, event_type, value FROM ({ranked}) WHERE r = 1 AND event_type <> 'error'",
     )
+    queries_more.register(q, source=source, texts=_TEXT, tokens_sql=_tokens_sql, bm25_sql=_bm25_sql, probe=_PROBE, derived=derived)
     return q
 
 
