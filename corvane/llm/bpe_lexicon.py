@@ -12,6 +12,7 @@ The lexicon only saves time: its bound doesn't change the result.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import os
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
-from .piece_cache import _KEEPING, _ODD, _PLAIN, tokenizer_path
+from .piece_cache import _KEEPING, _ODD, _PLAIN, Generations, tokenizer_path
 
 _MAGIC = b"CVLEX001"
 _HEADER = struct.Struct("<8s6Q")  # magic; states, arcs, words, ids, two spare
@@ -66,7 +67,8 @@ class Merger:
         for rank, (a, b) in enumerate(pairs):
             self.ranks[vocab[a], vocab[b]] = rank
             self.made.append(vocab[a + b])
-        self._merged: dict[str, list[int]] = {}
+        self._merged = Generations(400_000)
+        self._decimals: dict[int, bytes] = {}
         self._whole = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
     def segments(self, text: str) -> Iterator[str | int]:
@@ -126,16 +128,20 @@ class Merger:
         tokens = (text,) if _PLAIN.fullmatch(text) else self.pattern.findall(text)
         out: list[int] = []
         for token in tokens:
-            ids = self._merged.get(token)
+            ids = self._merged.get(token) or self._merged.known(token)
             if ids is None:
                 ids = self.merge(token)
                 if len(token) <= 40:
-                    if len(self._merged) >= 200_000:
-                        self._merged.clear()
-                    self._merged[token] = ids
+                    self._merged.keep(token, ids)
             out += ids
         return out
 
+    def decimals(self) -> dict[int, bytes]:
+        """Each id in decimal."""
+        if not self._decimals:
+            self._decimals = {i: str(i).encode() for i in self.bytes_of}
+        return self._decimals
+
     def text(self, ids: Iterable[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -265,21 +271,26 @@ class Lexicon:
 class Codec:
     """Encodes and decodes whole texts; a bounded memo keeps the words seen last."""
 
-    def __init__(self, merger: Merger, lexicon: Lexicon | None, limit: int = 300_000):
+    def __init__(self, merger: Merger, lexicon: Lexicon | None, limit: int = 800_000):
         self.merger, self.lexicon, self.limit = merger, lexicon, limit
         self._memo: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        memo = self._memo
-        if len(memo) > self.limit:
-            memo.clear()
+        if len(self._memo) > self.limit:  # the words of a batch stay until it is done
+            self._memo, self._old = {}, self._memo
+        memo, old = self._memo, self._old
         parts = [[x if isinstance(x, int) else words_of(x) for x in self.merger.segments(t)] for t in texts]
         seen: set[str] = set()
         for p in parts:
             for x in p:
                 if not isinstance(x, int):
                     seen.update(x)
-        new = [w for w in seen if w not in memo]
+        new = seen.difference(memo)
+        if old:
+            again = new.intersection(old)
+            memo.update(zip(again, map(old.__getitem__, again)))
+            new -= again
         words, long = [w for w in new if len(w) <= 64], {}
         ranks = self.lexicon.ranks([w.encode("utf-8") for w in words]) if self.lexicon else np.full(len(words), -1)
         for w, rank in zip(words, ranks.tolist(), strict=True):
@@ -409,8 +420,27 @@ def decode(encoded: DataFrame, *, tokenizer: str | None = None) -> DataFrame:
     return common.arrow_map(encoded.select("doc_id", "ids"), _decoded(path), "doc_id long, ids array<int>, decoded string")
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
+def _round_trips(path: str, file: str | None):
+    """Encoded and decoded again by one worker; ids and texts leave it as digests."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(path, file)
+        said = c.merger.decimals()
+        for batch in batches:
+            counts, of_ids, of_texts = [], [], []
+            for ids in c.encode_batch(common.texts_of(batch.column(1))):
+                ids = ids.tolist()
+                counts.append(len(ids))
+                of_ids.append(hashlib.sha256(b",".join(map(said.__getitem__, ids))).hexdigest())
+                of_texts.append(hashlib.sha256(c.decode(ids).encode("utf-8")).hexdigest())
+            yield pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return run
+
+
+def round_trip(spark: SparkSession, docs: DataFrame, *, tokenizer: str | None = None, words: int = 50_000) -> DataFrame:
     """A row per document: doc_id, n_tokens, ids_sha256, decoded_sha256. Awkward rows: as ``encode`` states."""
-    rows = decode(encode(spark, docs, **options))
-    said = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(said, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    path = tokenizer or tokenizer_path("byte_bpe_50k.json")
+    file = build_lexicon(spark, docs, tokenizer=path, words=words)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return common.arrow_map(rows, _round_trips(path, file), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -30,12 +30,33 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
-class _Memo(dict):
+class Generations(dict):
+    """A bounded memo: when ``limit`` entries are in it they become the old generation, of which what is asked for comes back."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def known(self, key):
+        """The value of a key that isn't in the young generation, or None."""
+        value = self.old.get(key)
+        if value is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+
+class _Memo(Generations):
     """Piece to its ids as native unsigned 32-bit integers; misses are encoded, long pieces not kept."""
 
     def __init__(self, tokenizer, limit: int):
-        super().__init__()
-        self.tokenizer, self.model, self.limit = tokenizer, tokenizer.model, limit
+        super().__init__(limit)
+        self.tokenizer, self.model = tokenizer, tokenizer.model
         self.plain_word = None  # how the model writes a word of Latin letters, if words are known to be one token of the pattern
 
     def encode(self, piece: str) -> bytes:
@@ -47,21 +68,21 @@ class _Memo(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(piece) > 48:
             return self.encode(piece)
+        if (ids := self.known(piece)) is not None:
+            return ids
         core = piece.rstrip(_TAIL)
         if core and len(core) < len(piece) and core[-1] < "\u0250" and core[-1].isalnum():
             ids = self[core] + self[piece[len(core) :]]
         else:
             ids = self.encode(piece)
-        if len(self) >= self.limit:
-            self.clear()
-        self[piece] = ids
+        self.keep(piece, ids)
         return ids
 
 
 class PieceEncoder:
     """``encode(text)`` gives the library's ids (no special tokens added) as packed unsigned 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
