@@ -20,8 +20,9 @@ import struct
 import tempfile
 import uuid
 from array import array
-from collections import Counter
+from collections import ChainMap, Counter
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from . import common
 from .piece_cache import _KEEPING, _ODD, _PLAIN, Generations, tokenizer_path
 
 _MAGIC = b"CVLEX001"
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _HEADER = struct.Struct("<8s6Q")  # magic; states, arcs, words, ids, two spare
 
 
@@ -67,8 +69,9 @@ class Merger:
         for rank, (a, b) in enumerate(pairs):
             self.ranks[vocab[a], vocab[b]] = rank
             self.made.append(vocab[a + b])
-        self._merged = Generations(400_000)
+        self._merged = Generations(150_000)
         self._decimals: dict[int, bytes] = {}
+        self._slots: tuple[int, np.ndarray, np.ndarray] | None = None
         self._whole = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
     def segments(self, text: str) -> Iterator[str | int]:
@@ -123,19 +126,97 @@ class Merger:
                     heapq.heappush(heap, (rank, x, ids[x], ids[y]))
         return [x for x, live in zip(ids, alive, strict=True) if live]
 
-    def word(self, text: str) -> list[int]:
-        """Ids of a text without added tokens; the merges of short matches are kept for the next word that has them."""
-        tokens = (text,) if _PLAIN.fullmatch(text) else self.pattern.findall(text)
-        out: list[int] = []
-        for token in tokens:
-            ids = self._merged.get(token) or self._merged.known(token)
-            if ids is None:
-                ids = self.merge(token)
-                if len(token) <= 40:
-                    self._merged.keep(token, ids)
-            out += ids
+    def _ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The ranks of pairs, ``none`` for those that don't merge, from a table with open addressing."""
+        if self._slots is None:
+            keys = np.array([x << 32 | y for x, y in self.ranks], dtype=np.int64)
+            bits = max(4, (4 * len(keys)).bit_length())
+            slots, values = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, len(self.made), dtype=np.int64)
+            left = np.arange(len(keys))
+            at = (keys.astype(np.uint64) * _SPREAD >> np.uint64(64 - bits)).astype(np.int64)
+            while len(left):
+                free = slots[at[left]] < 0
+                slots[at[left[free]]] = keys[left[free]]  # of several for one slot, one gets it
+                own = slots[at[left]] == keys[left]
+                values[at[left[own]]] = left[own]
+                left = left[~own]
+                at[left] = (at[left] + 1) & ((1 << bits) - 1)
+            self._slots = (bits, slots, values)
+        bits, slots, values = self._slots
+        keys = a << 32 | b
+        at = (keys.astype(np.uint64) * _SPREAD >> np.uint64(64 - bits)).astype(np.int64)
+        found = slots[at]
+        out = np.where(found == keys, values[at], len(self.made))
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & ((1 << bits) - 1)
+            found = slots[at[open_]]
+            out[open_] = np.where(found == keys[open_], values[at[open_]], len(self.made))
+            open_ = open_[(found != keys[open_]) & (found >= 0)]
         return out
 
+    def merge_many(self, tokens: list[str]) -> list[bytes]:
+        """The same for many short tokens at once, as packed 32-bit ids: each round merges one pair in every token that has one."""
+        raw = [t.encode("utf-8") for t in tokens]
+        lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        none, made = len(self.made), np.array(self.made, dtype=np.int64)
+        ids = np.array(self.first, dtype=np.int64)[np.frombuffer(b"".join(raw), dtype=np.uint8)]
+        own = np.repeat(np.arange(len(raw)), lengths)
+        ranks = np.full(len(ids), none, dtype=np.int64)  # of each id and the next
+        inner = np.flatnonzero(own[1:] == own[:-1])
+        ranks[inner] = self._ranks_of(ids[inner], ids[inner + 1])
+        over_own, over_ids = [], []
+        while len(ids):
+            new = np.ones(len(own), dtype=bool)
+            new[1:] = own[1:] != own[:-1]
+            starts = np.flatnonzero(new)
+            least = np.repeat(np.minimum.reduceat(ranks, starts), np.diff(np.append(starts, len(own))))
+            over = least == none
+            if over.any():
+                over_own.append(own[over])
+                over_ids.append(ids[over])
+                ids, own, ranks, least = ids[~over], own[~over], ranks[~over], least[~over]
+                if not len(ids):
+                    break
+            hit = np.flatnonzero(ranks == least)
+            at = hit[np.append(True, own[hit[1:]] != own[hit[:-1]])]  # the leftmost of each token
+            ids[at] = made[ranks[at]]
+            keep = np.ones(len(ids), dtype=bool)
+            keep[at + 1] = False
+            ids, own, ranks = ids[keep], own[keep], ranks[keep]
+            at = at - np.arange(len(at))
+            for left in (at[at + 1 < len(ids)], at[at > 0] - 1):
+                same = own[left] == own[left + 1]
+                ranks[left] = np.where(same, self._ranks_of(ids[left], ids[left + 1]), none)
+            if len(at) and at[-1] == len(ids) - 1:
+                ranks[-1] = none
+        own, ids = np.concatenate([np.empty(0, np.int64), *over_own]), np.concatenate([np.empty(0, np.int64), *over_ids])
+        order = np.argsort(own, kind="stable")
+        packed = ids[order].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(own, minlength=len(raw)))).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def words(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts without added tokens; short matches of the pattern are kept for the next text that has them."""
+        parts = [(t,) if _PLAIN.fullmatch(t) else self.pattern.findall(t) for t in texts]
+        known, out = self._merged, {}
+        todo = []
+        for token in {x for p in parts for x in p}:
+            ids = known.get(token) or known.known(token)
+            if ids is not None:
+                out[token] = ids
+            elif len(token) > 40:
+                out[token] = array("i", self.merge(token)).tobytes()
+            else:
+                todo.append(token)
+        for token, ids in zip(todo, self.merge_many(todo), strict=True):
+            out[token] = ids
+            known.keep(token, ids)
+        return [out[p[0]] if len(p) == 1 else b"".join(map(out.__getitem__, p)) for p in parts]
+
+    def word(self, text: str) -> list[int]:
+        return array("i", self.words([text])[0]).tolist()
+
     def decimals(self) -> dict[int, bytes]:
         """Each id in decimal."""
         if not self._decimals:
@@ -210,8 +291,8 @@ def compile_lexicon(words: Iterable[str], merger: Merger, path: str) -> None:
             numbers.append(n)
             n += below[to]
     ids, ends = [], [0]
-    for key in keys:
-        ids += merger.word(key.decode("utf-8"))
+    for packed in merger.words([key.decode("utf-8") for key in keys]):
+        ids += array("i", packed)
         ends.append(len(ids))
     with open(path, "wb") as f:
         f.write(_HEADER.pack(_MAGIC, len(order), len(codes), len(keys), len(ids), 0, 0))
@@ -237,6 +318,7 @@ class Lexicon:
 
         self._codes, self._targets, self._numbers = part(arcs, "<i8"), part(arcs, "<i4"), part(arcs, "<i4")
         self._ends, self._ids, self._final = part(self.words + 1, "<i4"), part(ids, "<i4"), part(self.states, "u1")
+        self._bytes = self._ids.view(np.uint8)
 
     def ranks(self, words: list[bytes]) -> np.ndarray:
         """Each word's rank, -1 if it isn't here; all words walk together."""
@@ -267,11 +349,14 @@ class Lexicon:
     def ids(self, rank: int) -> np.ndarray:
         return self._ids[self._ends[rank] : self._ends[rank + 1]]
 
+    def packed(self, rank: int) -> bytes:
+        return self._bytes[4 * self._ends[rank] : 4 * self._ends[rank + 1]].tobytes()
+
 
 class Codec:
     """Encodes and decodes whole texts; a bounded memo keeps the words seen last."""
 
-    def __init__(self, merger: Merger, lexicon: Lexicon | None, limit: int = 800_000):
+    def __init__(self, merger: Merger, lexicon: Lexicon | None, limit: int = 400_000):
         self.merger, self.lexicon, self.limit = merger, lexicon, limit
         self._memo: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -281,27 +366,25 @@ class Codec:
             self._memo, self._old = {}, self._memo
         memo, old = self._memo, self._old
         parts = [[x if isinstance(x, int) else words_of(x) for x in self.merger.segments(t)] for t in texts]
-        seen: set[str] = set()
+        new: set[str] = set()
         for p in parts:
             for x in p:
                 if not isinstance(x, int):
-                    seen.update(x)
-        new = seen.difference(memo)
+                    new.update(filterfalse(memo.__contains__, x))
         if old:
-            again = new.intersection(old)
+            again = [w for w in new if w in old]
             memo.update(zip(again, map(old.__getitem__, again)))
-            new -= again
-        words, long = [w for w in new if len(w) <= 64], {}
-        ranks = self.lexicon.ranks([w.encode("utf-8") for w in words]) if self.lexicon else np.full(len(words), -1)
-        for w, rank in zip(words, ranks.tolist(), strict=True):
-            memo[w] = self.lexicon.ids(rank).tobytes() if rank >= 0 else array("i", self.merger.word(w)).tobytes()
-        for w in new:
-            if len(w) > 64:
-                long[w] = array("i", self.merger.word(w)).tobytes()
-        look = (lambda w: memo[w] if w in memo else long[w]) if long else memo.__getitem__
+            new.difference_update(again)
+        words, long = [w for w in new if len(w) <= 64], [w for w in new if len(w) > 64]
+        ranks = self.lexicon.ranks([w.encode("utf-8") for w in words]).tolist() if self.lexicon else [-1] * len(words)
+        unseen = [w for w, rank in zip(words, ranks, strict=True) if rank < 0]
+        memo.update((w, self.lexicon.packed(rank)) for w, rank in zip(words, ranks, strict=True) if rank >= 0)
+        memo.update(zip(unseen, self.merger.words(unseen), strict=True))
+        if long:  # not kept
+            memo = ChainMap(dict(zip(long, self.merger.words(long), strict=True)), memo)
         out = []
         for p in parts:
-            out.append(np.frombuffer(b"".join(array("i", [x]).tobytes() if isinstance(x, int) else b"".join(map(look, x)) for x in p), dtype="<i4"))
+            out.append(np.frombuffer(b"".join(array("i", [x]).tobytes() if isinstance(x, int) else b"".join(map(memo.__getitem__, x)) for x in p), dtype="<i4"))
         return out
 
     def decode(self, ids: Iterable[int]) -> str:

@@ -396,6 +396,13 @@ def test_bpe_round_trip(spark, texts, empty):
     assert bpe_lexicon.round_trip(spark, empty).count() == 0
 
 
+def test_many_merges_are_the_single_ones():
+    merger, rng = bpe_lexicon.Merger(piece_cache.tokenizer_path("byte_bpe_50k.json")), random.Random(2)
+    tokens = ["a", " ", "", "aaaaaaa", "  ", " the", "ning", "é", "日本"] + ["".join(rng.choice("abcdefnoprstuing é") for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
+    assert [array.array("i", x).tolist() for x in merger.merge_many(tokens)] == [merger.merge(t) for t in tokens]
+    assert merger.merge_many([]) == []
+
+
 def test_decoding_uses_the_named_tokenizer(spark, tmp_path):
     """After an encode with one tokenizer, a decode with another one reads that one's vocabulary."""
     import json
