@@ -42,6 +42,7 @@ class Schedule:
         self.total = int(self.totals.sum())
         self.windows = -(-self.total // length)
         self.end = float(np.max((self.totals + 0.5) / self.weights, initial=1.0)) * 2
+        self._blocks: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # the last ones, for the queues that a task has one after the other
 
     def _served(self, v: np.ndarray) -> np.ndarray:
         """Tokens of each queue that are due by v (rows: values of v)."""
@@ -88,17 +89,29 @@ class Schedule:
             at_hi[tied] = base + np.clip(left, 0, more)
         return at_hi
 
+    def block(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """For block k of windows: the served tokens by window end, and by window what lies ahead of each queue's tokens."""
+        if k not in self._blocks:
+            while len(self._blocks) >= 4:
+                self._blocks.pop(next(iter(self._blocks)))
+            size = self.block_size()
+            served = self.boundaries(k * size, min((k + 1) * size, self.windows))
+            counts = np.diff(served, axis=0)
+            self._blocks[k] = served, np.cumsum(counts, axis=1) - counts
+        return self._blocks[k]
+
+    def block_size(self) -> int:
+        return max(1, min(4096, _CELLS // max(1, len(self.totals))))
+
     def pieces(self, queue: int, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """Cut documents that lie at [start, end) of a queue, in order: (document, start, length, window, offset)."""
         if not len(starts):
             return
+        size = self.block_size()
         k0, k1 = self.rank(queue, int(starts[0])) // self.length, self.rank(queue, int(ends[-1]) - 1) // self.length
-        block = max(1, min(4096, _CELLS // len(self.totals)))
-        for k in range(k0, k1 + 1, block):
-            n = min(block, k1 + 1 - k)
-            served = self.boundaries(k, k + n)
-            own = served[:, queue]
-            ahead = np.diff(served[:, :queue], axis=0).sum(axis=1)
+        for b in range(k0 // size, k1 // size + 1):
+            served, before = self.block(b)
+            k, own, ahead = b * size, served[:, queue], before[:, queue]
             lo, hi = max(int(own[0]), int(starts[0])), min(int(own[-1]), int(ends[-1]))
             if lo >= hi:
                 continue
@@ -144,14 +157,14 @@ def _piece_rows(bases: dict, order: dict[str, int], schedule: Schedule, width: i
                     continue
                 starts = at[a:b] + bases[part[a], queue[a]]
                 for d, start, length, window, offset in schedule.pieces(order[queue[a]], starts, starts + n[a:b]):
-                    crcs, seen, own = np.empty(len(d), dtype=np.int64), -1, None
-                    for j in range(len(d)):
-                        if d[j] != seen:
-                            seen = d[j]
-                            own = np.frombuffer(ids[a + int(seen)].as_py(), dtype=f"<u{width}").astype("<u4")
-                        crcs[j] = zlib.crc32(own[start[j] : start[j] + length[j]].tobytes())
+                    crcs, seen, own = [], -1, None
+                    for k, at_, n_ in zip(d.tolist(), (4 * start).tolist(), (4 * length).tolist(), strict=True):
+                        if k != seen:
+                            seen = k
+                            own = memoryview(np.frombuffer(ids[a + k].as_buffer(), dtype=f"<u{width}").astype("<u4").tobytes())
+                        crcs.append(zlib.crc32(own[at_ : at_ + n_]))
                     take = pa.array(d + a)
-                    yield pa.record_batch([doc.take(take), pa.array(start), pa.array(length), pa.array(crcs), pa.array(n[a:b][d]), pa.array(window), pa.array(offset), batch.column(1).take(take)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue"])
+                    yield pa.record_batch([doc.take(take), pa.array(start), pa.array(length), pa.array(crcs, pa.int64()), pa.array(n[a:b][d]), pa.array(window), pa.array(offset), batch.column(1).take(take)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue"])
 
     return run
 
