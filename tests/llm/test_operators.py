@@ -604,7 +604,7 @@ def test_quality_rules(spark, texts, empty):
             assert (r["word_chars"], r["n_symbols"], r["n_dup_lines"]) == (sum(map(len, brute.WORD.findall(t))), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)))
     assert rule_ledger.quality(empty).count() == 0
     ledger = rule_ledger.ledger(texts)
-    with pytest.raises(ValueError, match="n_words"):
+    with pytest.raises(ValueError, match="N_words"):
         rule_ledger.measure(texts.withColumn("N_words", F.lit(1)))
     for r in rule_ledger.ablations(ledger).collect():
         mask, bit = rule_ledger.mask_of(r["policy"]), 1 << [x.name for x in rule_ledger.RULES].index(r["rule"])
