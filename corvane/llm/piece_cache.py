@@ -82,7 +82,7 @@ class _Memo(Generations):
 class PieceEncoder:
     """``encode(text)`` gives the library's ids (no special tokens added) as packed unsigned 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 200_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
