@@ -21,6 +21,8 @@ _ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁠　﻿]")
 _TAIL = ".,;:!?)]}\"*#$%&"
 #: A space or none and letters of Latin-1 and Latin Extended, all precomposed, without the one whose lower case has two characters.
 _PLAIN = re.compile("( ?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)")
+#: The same with such punctuation behind.
+_TAILED = re.compile(f"{_PLAIN.pattern}([{re.escape(_TAIL)}]*)")
 
 
 def _byte_letters() -> list[str]:
@@ -60,9 +62,6 @@ class _Memo(Generations):
         self.plain_word = None  # how the model writes a word of Latin letters, if words are known to be one token of the pattern
 
     def encode(self, piece: str) -> bytes:
-        if self.plain_word is not None and (m := _PLAIN.fullmatch(piece)):
-            # one word that the normalizer and pattern leave whole: straight to the model, which costs a third
-            return array("I", [t.id for t in self.model.tokenize(self.plain_word(m[1], m[2]))]).tobytes()
         return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
@@ -70,11 +69,22 @@ class _Memo(Generations):
             return self.encode(piece)
         if (ids := self.known(piece)) is not None:
             return ids
-        core = piece.rstrip(_TAIL)
-        if core and len(core) < len(piece) and core[-1] < "\u0250" and core[-1].isalnum():
-            ids = self[core] + self[piece[len(core) :]]
+        if self.plain_word is not None and (m := _TAILED.fullmatch(piece)):
+            space, word, tail = m.groups()
+            core = space + word
+            if not tail:
+                # one word that the normalizer and pattern leave whole: straight to the model, which costs a third
+                ids = array("I", [t.id for t in self.model.tokenize(self.plain_word(space, word))]).tobytes()
         else:
-            ids = self.encode(piece)
+            core = piece.rstrip(_TAIL)
+            tail = piece[len(core) :] if core and core[-1] < "\u0250" and core[-1].isalnum() else ""
+            if not tail:
+                ids = self.encode(piece)
+        if tail:
+            again = core in self
+            ids = self[core] + self[tail]
+            if not again:  # of a new word only the word is kept: most of them are seen once
+                return ids
         self.keep(piece, ids)
         return ids
 
@@ -98,11 +108,12 @@ class PieceEncoder:
         if plain and normalizer is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
             self._split = lambda text: [text] if _ODD.search(text) else _KEEPING.findall(text)
             letters = dict(enumerate(_byte_letters()))
-            self._memo.plain_word = lambda space, word: (space + word).encode("utf-8").decode("latin-1").translate(letters)
+            blank = {"": "", " ": letters[32]}
+            self._memo.plain_word = lambda space, word: blank[space] + (word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(letters))
         elif plain and steps == ["NFC", "Replace", "Lowercase"] and pre.get("type") == "Sequence" and pre["pretokenizers"][0]["type"] == "Split" and pre["pretokenizers"][0]["invert"]:
             self._split = _DROPPING.findall
             letters = dict(enumerate(_byte_letters()))
-            self._memo.plain_word = lambda space, word: word.lower().encode("utf-8").decode("latin-1").translate(letters)
+            self._memo.plain_word = lambda space, word: word.lower() if word.isascii() else word.lower().encode("utf-8").decode("latin-1").translate(letters)
         else:
             self._split = lambda text: [text]
 
