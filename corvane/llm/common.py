@@ -9,6 +9,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -127,6 +128,18 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[p
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """For loops whose objects form no cycles: without the collector's walks over large memos."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def trim() -> None:
     """Python workers live on from one operator to the next: hand back what the last one no longer holds."""
     gc.collect()

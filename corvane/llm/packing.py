@@ -130,15 +130,16 @@ def _token_rows(path: str, end_id: int):
         last = np.array([end_id], dtype=kind).tobytes()
         for batch in batches:
             queues, starts, counts, ids = batch.column(0).to_pylist(), [], [], []
-            for queue, text in zip(queues, batch.column(2).to_pylist(), strict=True):
-                own = np.frombuffer(enc.encode(text or ""), dtype=np.uint32).astype(kind).tobytes() + last
-                n = len(own) // kind.itemsize
-                if queue != now:
-                    now, at = queue, 0
-                starts.append(at)
-                counts.append(n)
-                ids.append(own)
-                at += n
+            with common.no_cycles():
+                for queue, text in zip(queues, batch.column(2).to_pylist(), strict=True):
+                    own = np.frombuffer(enc.encode(text or ""), dtype=np.uint32).astype(kind).tobytes() + last
+                    n = len(own) // kind.itemsize
+                    if queue != now:
+                        now, at = queue, 0
+                    starts.append(at)
+                    counts.append(n)
+                    ids.append(own)
+                    at += n
             m = len(queues)
             yield pa.record_batch([pa.array([part] * m, pa.int32()), batch.column(0), batch.column(1), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], ["part", "queue", "doc_id", "at", "n", "ids"])
 

@@ -48,6 +48,7 @@ class Generations(dict):
 
     def keep(self, key, value) -> None:
         if len(self) >= self.limit:
+            self.old = None  # freed before the copy, so that no third generation is held
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -92,7 +93,7 @@ class _Memo(Generations):
 class PieceEncoder:
     """``encode(text)`` gives the library's ids (no special tokens added) as packed unsigned 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
