@@ -441,11 +441,10 @@ def link_components(spark: SparkSession, docs: DataFrame, *, percent: int = 85,
 
     # 1. suspects by the frequencies of a part of the shingles
     sent = common.arrow_map(rows, _screen_rows(width, percent, parts), "part int, block long, ids array<long>, margins array<int>, sizes array<int>, hashes binary, places binary")
-    replies = keep(common.arrow_map(sent.repartitionById(parts, "part"), _screen_replies, "block long, ids array<long>, margins array<int>, sizes array<int>, places binary"), "screen")
-    common.release(spark)
+    replies = common.arrow_map(sent.repartitionById(parts, "part"), _screen_replies, "block long, ids array<long>, margins array<int>, sizes array<int>, places binary")
     blocks = replies.groupBy("block").agg(*(F.first(c, ignorenulls=True).alias(c) for c in ("ids", "margins", "sizes")), F.collect_list("places").alias("places")).drop("block")
     screened, screened_path = common.stored(spark, common.arrow_map(blocks, _screened, "doc_id long, n int, suspect boolean"), "screened")
-    done()
+    common.release(spark)
     suspects = screened.filter("suspect and doc_id is not null").select("doc_id").distinct()
     held, held_path = common.stored(spark, rows.join(suspects.hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("sha"), F.monotonically_increasing_id().alias("row")), "suspects")
     common.release(spark)
@@ -456,15 +455,14 @@ def link_components(spark: SparkSession, docs: DataFrame, *, percent: int = 85,
     sets, sets_path = common.stored(spark, common.arrow_map(texts, _set_blocks(width), "block long, nodes array<long>, sizes array<int>, items binary"), "sets")
     common.release(spark)
     counted = common.arrow_map(sets.select("block", "items"), _distinct_rows(parts), "part int, block long, hashes binary, counts binary")
-    counted = keep(common.arrow_map(counted.repartitionById(parts, "part"), _frequencies, "block long, hashes binary, totals binary"), "frequencies")
-    common.release(spark)
+    counted = common.arrow_map(counted.repartitionById(parts, "part"), _frequencies, "block long, hashes binary, totals binary")
     counted = counted.groupBy("block").agg(F.collect_list(F.struct("hashes", "totals")).alias("replies"))
     ordered = sets.join(counted, "block").select("nodes", "sizes", "items", "replies")
     posting = "struct<gram:long,pos:int,p0:long,p1:long,p2:long,p3:long>"
     live, live_path = common.stored(spark, common.arrow_map(ordered, _live_rows(percent), f"node long, n int, postings array<{posting}>, shared binary"), "live")
-    sizes, sizes_path = common.stored(spark, sets.select(F.explode(F.arrays_zip("nodes", "sizes")).alias("x")).select(F.col("x.nodes").alias("node"), F.col("x.sizes").alias("n")), "sizes")
+    sizes, sizes_path = common.stored(spark, sets.select(F.explode(F.arrays_zip("nodes", "sizes")).alias("x")).select(F.col("x.nodes").alias("node"), F.col("x.sizes").alias("n")).repartition("node"), "sizes")
     common.remove(spark, sets_path)
-    done()
+    common.release(spark)
 
     def verify(pairs: DataFrame) -> DataFrame:
         """The pairs (u, v) that link, stored."""

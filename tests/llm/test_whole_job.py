@@ -1,7 +1,9 @@
 """Training-data operators and the pipeline do the whole job on hosts, sources and ids that the test tables don't have."""
 
+import os
+
 import corpus_pipeline
-from corvane.llm import html_text, jaccard_join
+from corvane.llm import common, html_text, jaccard_join
 
 
 def test_pipeline_links_near_copies_at_0_8_of_5_words(spark):
@@ -30,3 +32,23 @@ def test_first_of_each_works_by_row(spark):
     assert out.columns == ["doc_id", "text"]
     got = sorted((r["doc_id"] or 0, r["text"][:2]) for r in out.collect())
     assert got == [(0, ""), (0, ""), (0, "a0"), (5, "b0"), (7, "c0"), (9, "d0")]
+
+
+def test_scratch_tables_are_few_files_without_checksums(spark, monkeypatch):
+    """Hadoop starts a process for each file that it makes; one started by a full JVM counts as a second JVM until it runs."""
+    files, stored = [], common.stored
+
+    def counted(spark, df, name):
+        out, path = stored(spark, df, name)
+        files.extend(f for f in os.listdir(path.removeprefix("file://")) if f != "_SUCCESS")
+        return out, path
+
+    monkeypatch.setattr(common, "stored", counted)
+    words = [f"w{i}" for i in range(60)]
+    # many blocks of texts with words of their own, and two that link
+    docs = [(i, " ".join(f"{i}x{k}" for k in range(40))) for i in range(400)] + [(400, " ".join(words)), (401, " ".join(words[:57]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8).localCheckpoint()
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.link_components(spark, df).collect()}
+    assert got == {i: min(i, 400) for i in range(402)}
+    assert not [f for f in files if f.endswith(".crc")]
+    assert len(files) <= 25  # 31 and as many checksum files when the counts of shingles were tables, too
