@@ -104,6 +104,19 @@ def pieces(batches: Iterable[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterat
                 yield part
 
 
+def gathered(batches: Iterable[pa.RecordBatch], most: int = BATCH_BYTES // 2) -> Iterator[pa.RecordBatch]:
+    """Short batches put together up to ``most`` bytes, for work that gains from repeats; the rows stay in order."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let executors import this package wherever the driver found it; once for each Spark context."""
     sc = spark.sparkContext

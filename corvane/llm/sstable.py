@@ -228,14 +228,14 @@ def _write_shards(path: str, end_id: int, base: str, shard_bytes: int):
             common.put_file(uri, writer.finish(), f"attempt-{task.taskAttemptId()}")
             made.append((uri, task.partitionId(), shard, writer.entries, writer.ids))
 
-        for batch in batches:
+        for batch in common.gathered(batches):
             with common.no_cycles():
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode_many(batch.column(1)), strict=True):
                     if writer is not None and writer.size >= shard_bytes:
                         finish()
                         writer, shard = None, shard + 1
                     writer = writer or Writer(width)
-                    writer.add(key_of(doc_id), np.frombuffer(enc.encode(text or ""), dtype=np.uint32).astype(kind).tobytes() + last)
+                    writer.add(key_of(doc_id), np.frombuffer(ids, dtype=np.uint32).astype(kind).tobytes() + last)
         if writer is not None:
             finish()
         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*made, strict=True) if made else [[]] * 5, (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["shard", "part", "seq", "n_docs", "n_ids"])
