@@ -128,11 +128,11 @@ def _token_rows(path: str, end_id: int):
         kind = np.dtype("<u2") if max(enc.vocab_size, end_id + 1) <= 65536 else np.dtype("<u4")
         now, at = None, 0  # rows come queue by queue
         last = np.array([end_id], dtype=kind).tobytes()
-        for batch in batches:
+        for batch in common.gathered(batches):
             queues, starts, counts, ids = batch.column(0).to_pylist(), [], [], []
             with common.no_cycles():
-                for queue, text in zip(queues, batch.column(2).to_pylist(), strict=True):
-                    own = np.frombuffer(enc.encode(text or ""), dtype=np.uint32).astype(kind).tobytes() + last
+                for queue, own in zip(queues, enc.encode_many(batch.column(2)), strict=True):
+                    own = np.frombuffer(own, dtype=np.uint32).astype(kind).tobytes() + last
                     n = len(own) // kind.itemsize
                     if queue != now:
                         now, at = queue, 0
@@ -141,7 +141,8 @@ def _token_rows(path: str, end_id: int):
                     ids.append(own)
                     at += n
             m = len(queues)
-            yield pa.record_batch([pa.array([part] * m, pa.int32()), batch.column(0), batch.column(1), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], ["part", "queue", "doc_id", "at", "n", "ids"])
+            rows = pa.record_batch([pa.array([part] * m, pa.int32()), batch.column(0), batch.column(1), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary())], ["part", "queue", "doc_id", "at", "n", "ids"])
+            yield from (rows.slice(k, common.BATCH_ROWS) for k in range(0, m, common.BATCH_ROWS))
 
     return run
 

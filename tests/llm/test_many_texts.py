@@ -2,12 +2,13 @@
 
 import array
 import random
+import zlib
 
 import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from corvane.llm import common, piece_cache
+from corvane.llm import common, packing, piece_cache
 
 NAMES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 PARTS = [
@@ -63,3 +64,34 @@ def test_short_batches_are_gathered_in_order():
     assert list(common.gathered(iter([]))) == []
     big = pa.record_batch([pa.array(["x" * 1000])], ["text"])
     assert [b.num_rows for b in common.gathered(iter([batches[0], big, batches[1]]), 350)] == [1, 1, 1]
+
+
+def test_packing_encodes_gathered_batches_and_yields_short_ones(monkeypatch):
+    path, calls = piece_cache.tokenizer_path(NAMES[1]), []
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 3)
+
+    enc = piece_cache.PieceEncoder(path)
+    many = enc.encode_many
+    enc.encode_many = lambda texts: calls.append(len(texts)) or many(texts)
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    monkeypatch.setattr(packing, "encoder", lambda _: enc)
+    rows = [("=a" if i < 700 else "=b", i, f"text {i}, the cat." if i % 9 else None) for i in range(1200)]
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], ["queue", "doc_id", "text"])
+    out = list(packing._token_rows(path, 1)(batch.slice(k, 100) for k in range(0, 1200, 100)))
+    assert calls == [1200] and max(b.num_rows for b in out) <= common.BATCH_ROWS
+    got, one = pa.Table.from_batches(out).to_pylist(), library(NAMES[1])
+    want = [array.array("I", one(t)).tolist() + [1] for _, _, t in rows]
+    assert [(r["part"], r["queue"], r["doc_id"], array.array("H", r["ids"]).tolist()) for r in got] == [(3, q, i, ids) for (q, i, _), ids in zip(rows, want, strict=True)]
+    upto = {"=a": 0, "=b": 0}
+    for r in got:
+        assert (r["at"], r["n"]) == (upto[r["queue"]], len(r["ids"]) // 2)
+        upto[r["queue"]] += r["n"]
+
+
+def test_packing_of_a_capital_with_a_mark_before_punctuation(spark):
+    text, one = "\u0130. \u0130!! A\u0130)", library(NAMES[1])
+    (row,) = packing.pack(spark, spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")).collect()
+    assert row["ids_crc32"] == zlib.crc32(one(text) + array.array("I", [1]).tobytes())
